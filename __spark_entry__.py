@@ -61,7 +61,7 @@ class _Inputs:
 def _top_flowers(g: batch.Graph) -> DataFrame:
     """Only the flowers of the top repositories are made."""
     top = graph.top_repos(g.degrees, K)
-    return flowers.top_flowers(top, flowers.flowers(g.neighbors, g.degrees, roots=top))
+    return flowers.top_flowers(top, flowers.flowers(g.petals, g.degrees, roots=top))
 
 
 def py_import_lines(x: _Inputs) -> DataFrame:
@@ -107,17 +107,18 @@ def py_top_repos(x: _Inputs) -> DataFrame:
 
 
 def py_top_neighbors(x: _Inputs) -> DataFrame:
-    return x.py_graph().neighbors
+    edges = x.stage("edges", x.py_edges())
+    return graph.top_neighbors(edges, x.stage("degrees", graph.degree(edges)), N)
 
 
 def py_flower_nodes(x: _Inputs) -> DataFrame:
     g = x.py_graph()
-    return flowers.flower_nodes(flowers.flowers(g.neighbors, g.degrees))
+    return flowers.flower_nodes(flowers.flowers(g.petals, g.degrees))
 
 
 def py_flower_links(x: _Inputs) -> DataFrame:
     g = x.py_graph()
-    return flowers.flower_links(flowers.flowers(g.neighbors, g.degrees))
+    return flowers.flower_links(flowers.flowers(g.petals, g.degrees))
 
 
 def py_top_flowers(x: _Inputs) -> DataFrame:
@@ -138,7 +139,7 @@ def py_known_deps(x: _Inputs) -> DataFrame:
 
 
 def py_pair_counts(x: _Inputs) -> DataFrame:
-    return cooccur.pair_counts(x.known())
+    return cooccur.pair_counts(x.known(), stage=x.stage)
 
 
 def py_top_partners(x: _Inputs) -> DataFrame:
@@ -178,7 +179,7 @@ def go_top_repos(x: _Inputs) -> DataFrame:
 
 def go_flower_links(x: _Inputs) -> DataFrame:
     g = x.go_graph()
-    return flowers.flower_links(flowers.flowers(g.neighbors, g.degrees))
+    return flowers.flower_links(flowers.flowers(g.petals, g.degrees))
 
 
 def go_top_flowers(x: _Inputs) -> DataFrame:
@@ -189,7 +190,7 @@ def flower_lookup(x: _Inputs) -> DataFrame:
     """The flowers of all repositories of the repository table that have one."""
     g = x.py_graph()
     roots = x.tables["repos"].select(F.concat_ws("/", "user", "repo_name").alias("root"))
-    return flowers.flower_links(lookup.flower_of(flowers.flowers(g.neighbors, g.degrees), roots))
+    return flowers.flower_links(lookup.flower_of(flowers.flowers(g.petals, g.degrees), roots))
 
 
 def cooccur_lookup(x: _Inputs) -> DataFrame:

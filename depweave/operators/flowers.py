@@ -7,58 +7,67 @@ gathered here are bounded by the parameter and not by the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import link_record, node_record
 
 
-def _member(repo: str, degree: str):
-    return F.struct(F.col(repo).alias("repo"), F.col(degree).alias("degree"))
+def petals(neighbors: DataFrame) -> DataFrame:
+    """(dst, leaves): the rows of `top_neighbors` with one row per repository, by rank.
 
+    Written as a table, it is both sides of the second hop.
+    """
+    leaf = F.struct("rank", "src", "degree")
+    return neighbors.groupBy("dst").agg(F.sort_array(F.collect_list(leaf)).alias("leaves"))
+
+
+def neighbors_of(petals: DataFrame) -> DataFrame:
+    """(dst, src, degree, rank): `top_neighbors` from `petals`."""
+    rows = petals.select("dst", F.inline("leaves"))
+    return rows.select("dst", "src", "degree", "rank")
 
-def flowers(
-    neighbors: DataFrame, degrees: DataFrame, roots: DataFrame | None = None
-) -> DataFrame:
+
+def flowers(petals: DataFrame, degrees: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """(root, nodes, links): one row per repository that has dependents.
 
-    `neighbors` comes from `top_neighbors`, `degrees` from `degree`. Nodes are (repo, degree), links
-    (source, target), both distinct, in the order of first appearance. `roots` (dst) limits the
-    work to these roots before the second hop.
+    `petals` is the result of that function, `degrees` that of `degree`. Nodes are (repo, degree),
+    links (source, target), both distinct, in the order of first appearance. `roots` (dst) limits
+    the work to these roots before the second hop.
     """
-    petals = neighbors.groupBy(F.col("dst").alias("src")).agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct("rank", _member("src", "degree").alias("node"), link_record("dst", "src").alias("link"))
-            )
-        ).alias("leaves")
-    )
-    first_hop = neighbors
+    centers = petals
     if roots is not None:
-        first_hop = neighbors.join(roots.select("dst"), "dst", "left_semi")
+        centers = petals.join(roots.select("dst"), "dst", "left_semi")
         degrees = degrees.join(roots.select("dst"), "dst", "left_semi")
-    hops = first_hop.join(petals, "src", "left").select(
-        F.col("dst").alias("root"),
-        F.struct(
-            "rank",
-            _member("src", "degree").alias("node"),
-            link_record("dst", "src").alias("link"),
-            F.coalesce("leaves.node", F.array()).alias("leaf_nodes"),
-            F.coalesce("leaves.link", F.array()).alias("leaf_links"),
-        ).alias("hop"),
+    # The hop goes by a dependent that may be in a great many lists; its leaves are one row.
+    leaves = petals.select(F.col("dst").alias("src"), "leaves")
+    hops = neighbors_of(centers).join(leaves, "src", "left").select(
+        F.col("dst").alias("root"), F.struct("rank", "src", "degree", "leaves").alias("hop")
     )
-    gathered = hops.groupBy("root").agg(F.sort_array(F.collect_list("hop")).alias("hops"))
     center = degrees.select(F.col("dst").alias("root"), F.col("degree").alias("root_degree"))
+    gathered = hops.groupBy("root").agg(F.sort_array(F.collect_list("hop")).alias("hops"))
+
+    def members(of: Column) -> Column:
+        return F.arrays_zip(of["src"].alias("repo"), of["degree"].alias("degree"))
+
+    def links(source: Column, targets: Column) -> Column:
+        return F.transform(targets, lambda target: link_record(source, target))
+
+    no_leaves = F.array()
+    outer_nodes = F.transform("hops", lambda h: F.coalesce(members(h["leaves"]), no_leaves))
+    outer_links = F.transform(
+        "hops", lambda h: F.coalesce(links(h["src"], h["leaves"]["src"]), no_leaves)
+    )
+    root = F.struct(F.col("root").alias("repo"), F.col("root_degree").alias("degree"))
+    hops_col = F.col("hops")
     return gathered.join(center, "root").select(
         "root",
         F.array_distinct(
-            F.concat(
-                F.array(_member("root", "root_degree")),
-                F.col("hops.node"),
-                F.flatten("hops.leaf_nodes"),
-            )
+            F.concat(F.array(root), members(hops_col), F.flatten(outer_nodes))
         ).alias("nodes"),
-        F.array_distinct(F.concat("hops.link", F.flatten("hops.leaf_links"))).alias("links"),
+        F.array_distinct(
+            F.concat(links(F.col("root"), hops_col["src"]), F.flatten(outer_links))
+        ).alias("links"),
     )
 
 

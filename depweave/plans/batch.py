@@ -29,14 +29,14 @@ class Graph:
 
     edges: DataFrame
     degrees: DataFrame
-    neighbors: DataFrame
+    petals: DataFrame
 
 
 def graph_of(edges: DataFrame, stage: Write, n: int = 5) -> Graph:
     """`edges` should be a written table: it is read several times."""
     degrees = stage("degrees", graph.degree(edges))
-    neighbors = stage("top_neighbors", graph.top_neighbors(edges, degrees, n))
-    return Graph(edges, degrees, neighbors)
+    neighbors = graph.top_neighbors(edges, degrees, n)
+    return Graph(edges, degrees, stage("petals", flowers.petals(neighbors)))
 
 
 def python_resolved(
@@ -64,7 +64,7 @@ def counts_of(**tables: DataFrame) -> DataFrame:
 
 def _graph_results(g: Graph, k: int, result: Write) -> dict[str, DataFrame]:
     top = graph.top_repos(g.degrees, k)
-    all_flowers = result("flowers", flowers.flowers(g.neighbors, g.degrees))
+    all_flowers = result("flowers", flowers.flowers(g.petals, g.degrees))
     top_flowers = result("top_flowers", flowers.top_flowers(top, all_flowers))
     return {
         "neighbors": g.edges,
