@@ -25,18 +25,21 @@ class _Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.tables = corpus(spark, sf_dir)
-        self.files = self.tables["files"]
         self.stage = Stages(spark).write
 
+    @property
+    def files(self) -> DataFrame:
+        return self.tables.files
+
     def imports(self) -> DataFrame:
-        return extract.python_imports(self.tables["py_contents"])
+        return extract.python_imports(self.tables.py_contents)
 
     def dimension(self) -> DataFrame:
-        return resolve.repo_dimension(self.tables["repos"], self.tables["stopwords"])
+        return resolve.repo_dimension(self.tables.repos, self.tables.stopwords)
 
     def resolved(self) -> DataFrame:
         return batch.python_resolved(
-            self.tables["py_contents"], self.files, self.dimension(), self.stage
+            self.tables.py_contents, self.files, self.dimension(), self.stage
         )
 
     def py_edges(self) -> DataFrame:
@@ -49,7 +52,7 @@ class _Inputs:
         return self.stage("known", resolve.known_deps_of(self.resolved()))
 
     def go_deps(self) -> DataFrame:
-        return extract.go_deps(self.tables["go_contents"])
+        return extract.go_deps(self.tables.go_contents)
 
     def go_edges(self) -> DataFrame:
         return graph.go_edges(self.files, self.go_deps())
@@ -65,7 +68,7 @@ def _top_flowers(g: batch.Graph) -> DataFrame:
 
 
 def py_import_lines(x: _Inputs) -> DataFrame:
-    return extract.python_deps(x.tables["py_contents"])
+    return extract.python_deps(x.tables.py_contents)
 
 
 def py_path_names(x: _Inputs) -> DataFrame:
@@ -189,14 +192,14 @@ def go_top_flowers(x: _Inputs) -> DataFrame:
 def flower_lookup(x: _Inputs) -> DataFrame:
     """The flowers of all repositories of the repository table that have one."""
     g = x.py_graph()
-    roots = x.tables["repos"].select(F.concat_ws("/", "user", "repo_name").alias("root"))
+    roots = x.tables.repos.select(F.concat_ws("/", "user", "repo_name").alias("root"))
     return flowers.flower_links(lookup.flower_of(flowers.flowers(g.petals, g.degrees), roots))
 
 
 def cooccur_lookup(x: _Inputs) -> DataFrame:
     """The partners of all names of the repository table."""
     partners = cooccur.top_partners(x.known(), B, stage=x.stage)
-    found = lookup.cooccurs_of(partners, x.tables["repos"].select("repo_name"))
+    found = lookup.cooccurs_of(partners, x.tables.repos.select("repo_name"))
     return found.select("dep1", "dep2", "cnt")
 
 

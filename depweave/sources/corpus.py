@@ -6,7 +6,9 @@ imports in it; see FIXTURES.md for the mapping.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,50 +19,73 @@ def _lines_of(table: DataFrame) -> DataFrame:
     )
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The tables py_contents, go_contents, files, repos and stopwords."""
-    table = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    lineitem, customer, supplier = table("lineitem"), table("customer"), table("supplier")
-    part_name = F.concat(F.lit("m"), "l_partkey")
-    flag = F.col("l_returnflag")
+# Only the columns that are used; a declared schema also spares a job that would look it up.
+_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_returnflag string",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "part": "p_partkey bigint",
+}
 
-    py_line = (
-        F.when(flag == "A", F.concat(F.lit("import "), part_name))
-        .when(flag == "N", F.concat(F.lit("from "), part_name, F.lit(".sub import f")))
-        .otherwise(F.concat(F.lit("import "), part_name, F.lit(",m"), F.col("l_partkey") + 1))
-    )
-    py_contents = _lines_of(
-        lineitem.select(F.col("l_orderkey").alias("id"), py_line.alias("line"))
-    )
 
-    owner = F.when(F.col("c_custkey").isNull(), "ext").otherwise(
-        F.concat(F.lit("u"), "c_nationkey")
-    )
-    go_line = F.concat(
-        F.lit("\t"),
-        F.when(flag == "N", "x ").otherwise(""),
-        F.lit('"github.com/'),
-        owner,
-        F.lit("/"),
-        part_name,
-        F.when(flag == "A", "/sub").otherwise(""),
-        F.lit('"'),
-    )
-    go_body = _lines_of(
-        lineitem.join(customer, F.col("c_custkey") == F.col("l_partkey"), "left").select(
-            F.col("l_orderkey").alias("id"), go_line.alias("line")
+class Corpus:
+    """The derived tables over one folder, each planned when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark = spark
+        self._sf_dir = sf_dir
+
+    def _table(self, name: str) -> DataFrame:
+        path = f"{self._sf_dir}/{name}.parquet"
+        return self._spark.read.schema(_SCHEMAS[name]).parquet(path)
+
+    @cached_property
+    def py_contents(self) -> DataFrame:
+        """(id, content): the three forms of import, by return flag."""
+        name, flag = F.concat(F.lit("m"), "l_partkey"), F.col("l_returnflag")
+        line = (
+            F.when(flag == "A", F.concat(F.lit("import "), name))
+            .when(flag == "N", F.concat(F.lit("from "), name, F.lit(".sub import f")))
+            .otherwise(F.concat(F.lit("import "), name, F.lit(",m"), F.col("l_partkey") + 1))
         )
-    )
-    go_contents = go_body.select(
-        "id",
-        F.concat(F.lit("package m\nimport (\n"), "content", F.lit("\n)")).alias("content"),
-    )
+        lines = self._table("lineitem").select(F.col("l_orderkey").alias("id"), line.alias("line"))
+        return _lines_of(lines)
+
+    @cached_property
+    def go_contents(self) -> DataFrame:
+        """(id, content): one import block; a part that is no customer's is outside the corpus."""
+        owner = F.when(F.col("c_custkey").isNull(), "ext").otherwise(
+            F.concat(F.lit("u"), "c_nationkey")
+        )
+        flag = F.col("l_returnflag")
+        line = F.concat(
+            F.lit("\t"),
+            F.when(flag == "N", "x ").otherwise(""),
+            F.lit('"github.com/'),
+            owner,
+            F.lit("/m"),
+            F.col("l_partkey"),
+            F.when(flag == "A", "/sub").otherwise(""),
+            F.lit('"'),
+        )
+        owned = self._table("lineitem").join(
+            self._table("customer"), F.col("c_custkey") == F.col("l_partkey"), "left"
+        )
+        body = _lines_of(owned.select(F.col("l_orderkey").alias("id"), line.alias("line")))
+        block = F.concat(F.lit("package m\nimport (\n"), "content", F.lit("\n)"))
+        return body.select("id", block.alias("content"))
 
-    files = (
-        table("orders")
-        .where(F.col("o_orderkey") % 97 != 0)
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
+    @cached_property
+    def files(self) -> DataFrame:
+        """(id, repo_name, path): every 97th order has no file, so that contents without a file
+        occur."""
+        placed = (
+            self._table("orders")
+            .where(F.col("o_orderkey") % 97 != 0)
+            .join(self._table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        )
+        return placed.select(
             F.col("o_orderkey").alias("id"),
             F.concat(F.lit("u"), "c_nationkey", F.lit("/m"), "c_custkey").alias("repo_name"),
             F.concat(
@@ -71,31 +96,30 @@ def corpus(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                 F.lit(".py"),
             ).alias("path"),
         )
-    )
 
-    def as_repos(source: DataFrame, prefix: str, user: str, nation: str, key: str, balance: str, fork):
-        return source.select(
-            F.concat(F.lit(user), nation).alias("user"),
-            F.concat(F.lit(prefix), key).alias("repo_name"),
-            F.lit(0).cast("long").alias("num_bytes"),
-            F.floor(F.abs(balance)).cast("int").alias("stars"),
-            fork.cast("int").alias("fork"),
-        )
+    @cached_property
+    def repos(self) -> DataFrame:
+        """(user, repo_name, num_bytes, stars, fork): customers, and suppliers as rivals."""
+        household = F.when(F.col("c_mktsegment") == "HOUSEHOLD", 1).otherwise(0)
 
-    household = F.when(F.col("c_mktsegment") == "HOUSEHOLD", 1).otherwise(0)
-    repos = as_repos(customer, "m", "u", "c_nationkey", "c_custkey", "c_acctbal", household).unionByName(
-        as_repos(supplier, "m", "s", "s_nationkey", "s_suppkey", "s_acctbal", F.lit(0))
-    )
+        def rows(table: str, user: str, column: str, key: str, fork: Column) -> DataFrame:
+            return self._table(table).select(
+                F.concat(F.lit(user), f"{column}_nationkey").alias("user"),
+                F.concat(F.lit("m"), key).alias("repo_name"),
+                F.lit(0).cast("long").alias("num_bytes"),
+                F.floor(F.abs(f"{column}_acctbal")).cast("int").alias("stars"),
+                fork.cast("int").alias("fork"),
+            )
 
-    stopwords = (
-        table("part")
-        .where(F.col("p_partkey") % 101 == 7)
-        .select(F.concat(F.lit("m"), "p_partkey").alias("name"))
-    )
-    return {
-        "py_contents": py_contents,
-        "go_contents": go_contents,
-        "files": files,
-        "repos": repos,
-        "stopwords": stopwords,
-    }
+        customers = rows("customer", "u", "c", "c_custkey", household)
+        return customers.unionByName(rows("supplier", "s", "s", "s_suppkey", F.lit(0)))
+
+    @cached_property
+    def stopwords(self) -> DataFrame:
+        """(name)."""
+        part = self._table("part").where(F.col("p_partkey") % 101 == 7)
+        return part.select(F.concat(F.lit("m"), "p_partkey").alias("name"))
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> Corpus:
+    return Corpus(spark, sf_dir)
