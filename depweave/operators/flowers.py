@@ -113,11 +113,12 @@ def graph_document(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
     For merged top flowers, which hold at most k·(1 + n + n²) repositories.
     """
-    node_list = nodes.agg(F.sort_array(F.collect_list(node_record("id", "group"))).alias("nodes"))
-    link_list = links.agg(
-        F.sort_array(F.collect_list(link_record("source", "target"))).alias("links")
+    node, link = node_record("id", "group"), link_record("source", "target")
+    rows = nodes.select(node.alias("node")).unionByName(
+        links.select(link.alias("link")), allowMissingColumns=True
     )
-    both = node_list.select(F.lit(1).alias("one"), "nodes").join(
-        link_list.select(F.lit(1).alias("one"), "links"), "one"
+    lists = rows.agg(
+        F.sort_array(F.collect_list("node")).alias("nodes"),
+        F.sort_array(F.collect_list("link")).alias("links"),
     )
-    return both.select(F.to_json(F.struct("nodes", "links")).alias("document"))
+    return lists.select(F.to_json(F.struct("nodes", "links")).alias("document"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,11 @@ class Stages:
         return self.spark.read.schema(table.schema).parquet(path)
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="depweave-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """`spark.checkpoint.dir`. Where it is unset, a session without a cluster gets a folder of its
     own, and one with a cluster is refused: executors would not see it."""
@@ -37,6 +43,5 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="depweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own_folder()
     return folder.rstrip("/")

@@ -27,7 +27,7 @@ PYTHON_LINES = {
     "": [],
     "import": [],
     "import été.x": ["été"],
-    "import a b": ["a b"],
+    "import a\N{NO-BREAK SPACE}b": ["a\N{NO-BREAK SPACE}b"],
 }
 
 GO_FILES = {
