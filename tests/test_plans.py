@@ -86,12 +86,14 @@ def test_hot_dependent(skewed_session):
             skewed_session,
             60_000,
             ["concat('d', id div 2) dst", "if(id % 3 = 0, 'all', concat('d', id * 7 % 30000)) src"],
-        ).distinct(),
+        )
+        .distinct()
+        .repartition(8),
     )
     degrees = stage("degrees", graph.degree(edges))
     neighbors = graph.top_neighbors(edges, degrees, 2)
     assert splits_hot_key(neighbors)
-    petals = stage("petals", flowers.petals(neighbors))
+    petals = stage("petals", flowers.petals(neighbors).repartition(8))
     assert splits_hot_key(flowers.flowers(petals, degrees))
 
 
