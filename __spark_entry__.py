@@ -39,7 +39,11 @@ class _Inputs:
 
     def resolved(self) -> DataFrame:
         return batch.python_resolved(
-            self.tables.py_contents, self.files, self.dimension(), self.stage
+            self.tables.py_contents,
+            self.files,
+            self.dimension(),
+            self.stage,
+            stopwords=self.tables.stopwords,
         )
 
     def py_edges(self) -> DataFrame:

@@ -7,7 +7,8 @@
     cli.py cooccurs --lang python --out results name
 
 `index` writes the repository table, `batch` reads it and writes the result tables, `refresh` makes
-the front-page documents. The last two print one document.
+the front-page documents. The last two print one document. `batch` needs no stop words, but given
+those of `index` it drops them early.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     command("index", "--repos").add_argument("--stopwords")
     batch = command("batch", "--contents", "--files")
     batch.add_argument("--format", default="parquet")
+    batch.add_argument("--stopwords")
     batch.add_argument("-k", type=int, default=5)
     batch.add_argument("-n", type=int, default=5)
     batch.add_argument("-b", type=int, default=20)
@@ -65,6 +67,7 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
     files = read_files(spark, args.files, args.format)
     results, stages = Results(spark, args.out, args.lang), Stages(spark)
     if args.lang == "python":
+        stopwords = read_stopwords(spark, args.stopwords) if args.stopwords else None
         python_batch(
             contents,
             files,
@@ -74,6 +77,7 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
             k=args.k,
             n=args.n,
             b=args.b,
+            stopwords=stopwords,
         )
     else:
         go_batch(contents, files, stages.write, results.write, k=args.k, n=args.n)

@@ -29,7 +29,12 @@ def repo_deps(files: DataFrame, imports: DataFrame) -> DataFrame:
     return flat.where(F.col("dep") != "").distinct()
 
 
-def external_deps(files: DataFrame, imports: DataFrame, suffix_len: int = 2) -> DataFrame:
+def external_deps(
+    files: DataFrame,
+    imports: DataFrame,
+    suffix_len: int = 2,
+    unresolvable: DataFrame | None = None,
+) -> DataFrame:
     """(repo, dep): imported names that are not also a folder or file name of the same repository.
 
     Imports and names go through one aggregation on (repo, token) instead of two distincts and an
@@ -49,8 +54,12 @@ def external_deps(files: DataFrame, imports: DataFrame, suffix_len: int = 2) ->
         ),
     )
     tokens = tagged.select("repo", "imported", F.explode("tokens").alias("token")).where(
-        (F.col("token") != "") & (F.col("imported") | ~F.col("token").rlike("[. ]"))
+        (F.col("token") != "")
+        & (F.col("imported") | ~(F.contains("token", F.lit(".")) | F.contains("token", F.lit(" "))))
     )
+    if unresolvable is not None:
+        useless = unresolvable.select(F.col("name").alias("token"), F.lit(True).alias("imported"))
+        tokens = tokens.join(useless, ["token", "imported"], "left_anti")
     return (
         tokens.groupBy("repo", "token")
         .agg(F.bool_and("imported").alias("external"))

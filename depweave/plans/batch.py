@@ -46,14 +46,17 @@ def python_resolved(
     stage: Write,
     suffix_len: int = 2,
     strip_cr: bool = False,
+    stopwords: DataFrame | None = None,
 ) -> DataFrame:
     """(repo, dep, dst): outside dependencies that name a repository of `dim`.
 
-    The table of best repositories is staged so that its size is known before the join.
+    `stopwords` are names that `dim` is known to have none of; given here too, they are dropped
+    early. The result is the same without them. The table of best repositories is staged so that its size is known before the join.
     """
     best = stage("best_repo", resolve.best_repo(dim))
     imports = extract.python_imports(contents, strip_cr)
-    return resolve.resolve(graph.external_deps(files, imports, suffix_len), best)
+    deps = graph.external_deps(files, imports, suffix_len, unresolvable=stopwords)
+    return resolve.resolve(deps, best)
 
 
 def counts_of(**tables: DataFrame) -> DataFrame:
@@ -86,14 +89,16 @@ def python_batch(
     suffix_len: int = 2,
     strip_cr: bool = False,
     ascii_only: bool = False,
+    stopwords: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Neighbours, top repositories, flowers, co-occurrences and the counts of top rows.
 
-    `dim` is the result of `repo_dimension`.
+    `dim` is the result of `repo_dimension`; `stopwords`, those it was made with, may be given to
+    drop them early.
     """
     resolved = stage(
         "resolved",
-        python_resolved(contents, files, dim, stage, suffix_len, strip_cr),
+        python_resolved(contents, files, dim, stage, suffix_len, strip_cr, stopwords),
     )
     edges = result("neighbors", resolve.edges_of(resolved))
     results = _graph_results(graph_of(edges, stage, n), k, result)

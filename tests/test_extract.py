@@ -170,5 +170,8 @@ def test_outside_names_only(spark):
     found = sorted(tuple(row) for row in graph.external_deps(files, imports).collect())
     # The nameless import of content 3 makes its folder count, the file without imports does not.
     assert found == [("r", "a"), ("r", "other"), ("s", "a"), ("s", "other")]
+    stop = spark.createDataFrame([("a",), ("pkg",)], "name string")
+    fewer = graph.external_deps(files, imports, unresolvable=stop).collect()
+    assert sorted(tuple(row) for row in fewer) == [("r", "other"), ("s", "other")]
     by_name = graph.external_deps(files, imports, suffix_len=3).collect()
     assert sorted(tuple(row) for row in by_name) == [("r", "other"), ("s", "a"), ("s", "other")]
