@@ -1,10 +1,11 @@
 """Column expressions: everything here is a built-in Spark expression, no UDF."""
 
-from .imports import go_import_repos, path_tokens, python_import_text, split_names
+from .imports import GO_HOST, go_import_repos, path_tokens, python_import_text, split_names
 from .records import link_record, node_record, pair_label
 from .repos import full_name, is_ascii, not_fork, popularity
 
 __all__ = [
+    "GO_HOST",
     "full_name",
     "go_import_repos",
     "is_ascii",

@@ -36,6 +36,8 @@ _GO_DECLARATION = (
     r"|[^(\r\n]*)"
 )
 
+GO_HOST = "github.com/"
+
 # Text between the last two quotes of a line, cut to the two path parts after the host.
 _GO_REPO = r'"github\.com/([^/"\r\n]*/[^/"\r\n]*)[^"\r\n]*"[^"\r\n]*(?=[\r\n]|\z)'
 

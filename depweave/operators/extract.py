@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
+    GO_HOST,
     go_import_repos,
     path_tokens,
     python_import_text,
@@ -46,8 +47,12 @@ def python_deps(contents: DataFrame, strip_cr: bool = False) -> DataFrame:
 
 def go_deps(contents: DataFrame) -> DataFrame:
     """(id, deps): repositories in the first import declaration, in order, duplicates kept; only
-    files that import at least one."""
-    found = evaluated_once(contents, "deps", go_import_repos("content"), "id")
+    files that import at least one.
+
+    Files without the host in their text are passed over before the patterns run.
+    """
+    hosted = contents.where(F.contains("content", F.lit(GO_HOST)))
+    found = evaluated_once(hosted, "deps", go_import_repos("content"), "id")
     return found.where(F.size("deps") > 0)
 
 
