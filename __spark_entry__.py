@@ -105,7 +105,8 @@ def py_edges(x: _Inputs) -> DataFrame:
 
 def py_adjacency(x: _Inputs) -> DataFrame:
     edges = x.stage("edges", x.py_edges())
-    parts = graph.adjacency(edges, graph.degree(edges), part_size=50)
+    degrees = x.stage("degrees", graph.degree(edges))
+    parts = graph.adjacency(edges, degrees, part_size=50)
     return parts.select("dst", "part", F.array_join("srcs", ",").alias("srcs"), "degree")
 
 
@@ -169,7 +170,7 @@ def go_imports(x: _Inputs) -> DataFrame:
 
 def go_outer_join(x: _Inputs) -> DataFrame:
     joined = graph.go_file_deps(x.files, x.go_deps())
-    return joined.select("id", "repo", F.size("deps").cast("long").alias("n_deps"))
+    return joined.select("id", "repo", F.array_size("deps").cast("long").alias("n_deps"))
 
 
 def go_edges(x: _Inputs) -> DataFrame:

@@ -1,0 +1 @@
+"""Source-code dependency analytics on Spark."""

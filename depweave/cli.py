@@ -81,6 +81,8 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
         )
     else:
         go_batch(contents, files, stages.write, results.write, k=args.k, n=args.n)
+    # All results are written.
+    stages.remove()
 
 
 def refresh(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -68,10 +68,22 @@ def external_deps(
     )
 
 
+def _orphans(deps: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of `deps` whose content lies in no file."""
+    return deps.join(files.select("id").distinct(), "id", "left_anti")
+
+
 def go_file_deps(files: DataFrame, deps: DataFrame) -> DataFrame:
     """(id, repo, deps): full outer join. A file without imports has null `deps`, a content without
-    a file a null `repo`."""
-    return files.select("id", F.col("repo_name").alias("repo")).join(deps, "id", "full")
+    a file a null `repo`.
+
+    Made of a left join and the contents left over: of a full join, the files of a content with
+    very many copies could not be split.
+    """
+    located = files.select("id", F.col("repo_name").alias("repo"))
+    no_repo = F.lit(None).cast("string").alias("repo")
+    left_over = _orphans(deps, files).select("id", no_repo, "deps")
+    return located.join(deps, "id", "left").unionByName(left_over)
 
 
 def go_edges(
@@ -81,7 +93,10 @@ def go_edges(
     give edges with a null `src`."""
     located = files.select("id", F.col("repo_name").alias("src"))
     named = deps.select("id", F.array_distinct("deps").alias("deps"))
-    joined = located.join(named, "id", "right" if keep_orphans else "inner")
+    joined = located.join(named, "id", "inner").select("deps", "src")
+    if keep_orphans:
+        no_repo = F.lit(None).cast("string").alias("src")
+        joined = joined.unionByName(_orphans(named, files).select("deps", no_repo))
     edges = joined.select(F.explode("deps").alias("dst"), "src")
     if drop_self:
         edges = edges.where(~F.col("dst").eqNullSafe(F.col("src")))

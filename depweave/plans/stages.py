@@ -30,6 +30,12 @@ class Stages:
         table.write.parquet(path)
         return self.spark.read.schema(table.schema).parquet(path)
 
+    def remove(self) -> None:
+        """Deletes the subfolder of this instance, once no table in it is read any more."""
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
 
 @cache
 def _own_folder() -> str:

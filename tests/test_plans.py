@@ -1,5 +1,7 @@
 """Shapes of plans: what is pushed down, what is kept out of Python, what happens to hot keys."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +66,19 @@ def test_hot_content(skewed_session):
     assert splits_hot_key(joined)
 
 
+def test_hot_content_in_outer_join(skewed_session):
+    files = many(
+        skewed_session, 40_000, ["if(id % 3 = 0, 7, id) id", "concat('u/', id) repo_name"]
+    )
+    deps = many(skewed_session, 40_010, ["id", "array('u/a', concat('u/', id)) deps"])
+    stage = Stages(skewed_session).write
+    joined = graph.go_file_deps(stage("f", files), stage("d", deps))
+    assert splits_hot_key(joined)
+    # Contents 0, 3, 6, … have given their files to content 7.
+    assert joined.where("repo IS NULL").count() == 13_334 + 10
+    assert joined.count() == 40_000 + 13_334 + 10
+
+
 def test_hot_name(skewed_session):
     stage = Stages(skewed_session).write
     deps = many(
@@ -177,3 +192,7 @@ def test_stages_write_to_the_folder_of_the_session(spark):
     assert table.count() == 3
     assert all(shared_folder(spark) in file for file in table.inputFiles())
     assert stages.write("x", spark.range(4)).count() == 4
+    other = Stages(spark).write("x", spark.range(5))
+    stages.remove()
+    assert not Path(stages.path).exists()
+    assert other.count() == 5
