@@ -13,19 +13,32 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from depweave.operators import cooccur, extract, flowers, graph, lookup, resolve  # noqa: E402
 from depweave.plans import batch  # noqa: E402
-from depweave.plans.stages import Stages  # noqa: E402
+from depweave.plans.stages import LatestStages  # noqa: E402
 from depweave.sources import corpus  # noqa: E402
 from oracle_queries import ORACLE_SQL  # noqa: E402
 
+# The operators for training text and their pipeline can be taken away as a whole.
+try:
+    import corpus_pipeline
+    from depweave.llm import queries as llm
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "depweave.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 K, N, B = 5, 5, 20
 
 
+_LATEST = LatestStages()
+
+
 class _Inputs:
-    """The corpus of a folder and the steps that several queries share."""
+    """The corpus of a folder and the steps that several queries share. What the same query's last
+    call has written is removed."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, query: str = "shared"):
         self.tables = corpus(spark, sf_dir)
-        self.stage = Stages(spark).write
+        self.stage = _LATEST.of(spark, query).write
 
     @property
     def files(self) -> DataFrame:
@@ -271,10 +284,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(query: Callable[[_Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: query(_Inputs(spark, sf_dir))
+        return lambda spark, sf_dir: query(_Inputs(spark, sf_dir, query.__name__))
 
-    return {query.__name__: bound(query) for query in _QUERIES}
+    found = {query.__name__: bound(query) for query in _QUERIES}
+    if llm:
+        found |= {**llm.QUERIES, "pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    return {**ORACLE_SQL, **(llm.ORACLE_SQL if llm else {})}

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,12 +14,12 @@ class Stages:
     a known size: a join with it is broadcast only if it is really small, and is otherwise a sort
     merge join straight on two shuffles, the shape whose skewed keys adaptive execution splits.
 
-    The folder is the one named in `spark.checkpoint.dir`; each instance has its own subfolder.
+    The folder is `folder` or else `shared_folder(spark)`; each instance has its own subfolder.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
-        self.path = f"{shared_folder(spark)}/depweave-{uuid.uuid4().hex}"
+        self.path = f"{(folder or shared_folder(spark)).rstrip('/')}/depweave-{uuid.uuid4().hex}"
         self._written = 0
 
     def write(self, name: str, table: DataFrame) -> DataFrame:
@@ -37,17 +35,26 @@ class Stages:
         folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-@cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="depweave-")
+def shared_folder(spark: SparkSession) -> str:
+    """`spark.checkpoint.dir`, or where that is unset a folder in the warehouse: both lie where all
+    executors of a cluster see them."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`. Where it is unset, a session without a cluster gets a folder of its
-    own, and one with a cluster is refused: executors would not see it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = _own_folder()
-    return folder.rstrip("/")
+class LatestStages:
+    """The `Stages` of each query's latest call. Results are read after a query returns, so what a
+    call has written goes when the same query is called again, or by `remove`."""
+
+    def __init__(self) -> None:
+        self._latest: dict[str, Stages] = {}
+
+    def of(self, spark: SparkSession, query: str) -> Stages:
+        self.remove(query)
+        self._latest[query] = Stages(spark)
+        return self._latest[query]
+
+    def remove(self, query: str) -> None:
+        old = self._latest.pop(query, None)
+        if old is not None and old.spark.getActiveSession() is not None:
+            old.remove()

@@ -1,5 +1,6 @@
 """Shapes of plans: what is pushed down, what is kept out of Python, what happens to hot keys."""
 
+import re
 from pathlib import Path
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import _Inputs, queries
 from depweave.operators import cooccur, extract, flowers, graph, resolve
-from depweave.plans.stages import Stages, shared_folder
+from depweave.plans.stages import LatestStages, Stages, shared_folder
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -127,8 +128,10 @@ def test_hot_repository(skewed_session):
 
 
 def test_no_python_in_any_plan(spark):
-    for name, query in queries().items():
-        text = plan(query(spark, SMALL))
+    # The operators for training text may use Python.
+    names = [name for name in queries() if not re.match(r"op\d+_|pipeline$", name)]
+    for name in names:
+        text = plan(queries()[name](spark, SMALL))
         for word in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "ExistingRDD"):
             assert word not in text, name
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
@@ -179,11 +182,21 @@ class _Session:
 
 
 def test_shared_folder():
-    named = _Session(spark_checkpoint_dir="hdfs://n/c/", spark_master="yarn")
+    settings = {"spark_sql_warehouse_dir": "hdfs://n/w/", "spark_master": "yarn"}
+    named = _Session(spark_checkpoint_dir="hdfs://n/c", **settings)
     assert shared_folder(named) == "hdfs://n/c"
-    assert shared_folder(_Session(spark_master="local[2]")).startswith("/")
-    with pytest.raises(ValueError):
-        shared_folder(_Session(spark_master="yarn"))
+    assert shared_folder(_Session(**settings)) == "hdfs://n/w/stages"
+
+
+def test_a_call_removes_what_the_last_one_of_its_query_wrote(spark):
+    latest = LatestStages()
+    first = latest.of(spark, "q")
+    table = first.write("x", spark.range(3))
+    other = latest.of(spark, "other").write("x", spark.range(4))
+    assert table.count() == 3
+    latest.of(spark, "q")
+    assert not Path(first.path).exists()
+    assert other.count() == 4
 
 
 def test_stages_write_to_the_folder_of_the_session(spark):
