@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BITS = 1 << 27
@@ -91,24 +91,36 @@ def _gathered(segments: DataFrame, column: str, bits: int) -> np.ndarray:
     return whole
 
 
+class Filter:
+    """A filter for the workers: `bits` / 8 bytes, packed."""
+
+    def __init__(self, spark: SparkSession, whole: np.ndarray, bits: int):
+        self._packed = spark.sparkContext.broadcast(zlib.compress(whole.tobytes(), 1))
+        self._bits, self._whole = bits, None
+
+    def test(self, hashes: np.ndarray) -> np.ndarray:
+        if self._whole is None:
+            self._whole = np.frombuffer(zlib.decompress(self._packed.value), np.uint8)
+        return _test(self._whole, positions(hashes, self._bits))
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_whole": None}
+
+
 def _probe(table: DataFrame, whole: np.ndarray, column: str | Column, bits: int) -> Column:
     """Whether all bits of a hash are set; a null hash has no bits."""
-    shared = table.sparkSession.sparkContext.broadcast(zlib.compress(whole.tobytes(), 1))
-    cache: list[np.ndarray] = []
+    shared = Filter(table.sparkSession, whole, bits)
 
     @F.pandas_udf("boolean")
     def probe(hashes: pd.Series) -> pd.Series:
-        if not cache:
-            cache.append(np.frombuffer(zlib.decompress(shared.value), np.uint8))
-        return pd.Series(_test(cache[0], positions(hashes.to_numpy(np.int64), bits)))
+        return pd.Series(shared.test(hashes.to_numpy(np.int64)))
 
     value = F.col(column) if isinstance(column, str) else column
     return probe(F.coalesce(value, F.lit(0))) & value.isNotNull()
 
 
-def maybe_repeated(table: DataFrame, column: str, bits: int = BITS) -> Column:
-    """A column for `table`: true where the hash in `column` (long) may occur in another row too.
-    True for every hash that does; false for a null."""
+def repeats(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
+    """The filter of all hashes (column `h`, long, without nulls) that may occur twice or more."""
     size = min(SEGMENT_BYTES, bits // 8)
 
     def filters(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,14 +133,20 @@ def maybe_repeated(table: DataFrame, column: str, bits: int = BITS) -> Column:
             _set(seen, at)
         yield from _segments(seen, again, size)
 
-    hashes = table.select(F.col(column).alias("h")).where(F.col("h").isNotNull())
     parts = hashes.mapInPandas(filters, "segment long, seen binary, again binary")
     merged = (
         parts.repartition("segment")
         .sortWithinPartitions("segment")
         .mapInPandas(_merged, "segment long, again binary")
     )
-    return _probe(table, _gathered(merged, "again", bits), column, bits)
+    return _gathered(merged, "again", bits)
+
+
+def maybe_repeated(table: DataFrame, column: str, bits: int = BITS) -> Column:
+    """A column for `table`: true where the hash in `column` (long) may occur in another row too.
+    True for every hash that does; false for a null."""
+    hashes = table.select(F.col(column).alias("h")).where(F.col("h").isNotNull())
+    return _probe(table, repeats(hashes, bits), column, bits)
 
 
 def maybe_in(table: DataFrame, column: str, keys: DataFrame, bits: int = BITS) -> Column:

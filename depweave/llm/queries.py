@@ -16,6 +16,7 @@ from . import (
     language,
     licenses,
     near_dedup,
+    substring_dedup,
     token_count,
     toxicity,
 )
@@ -33,6 +34,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.fit(docs, labels, stage))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return substring_dedup.decisions(docs, _LATEST.of(spark, "op2").write)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(_table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_toxicity,
+        op2_substring_dedup,
         op3_token_counts,
         op4_language,
         op5_byte_bpe,
