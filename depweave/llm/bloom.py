@@ -13,7 +13,7 @@ cent; a smaller filter raises more of them and never misses a repeat.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -119,21 +119,31 @@ def _probe(table: DataFrame, whole: np.ndarray, column: str | Column, bits: int)
     return probe(F.coalesce(value, F.lit(0))) & value.isNotNull()
 
 
-def repeats(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
-    """The filter of all hashes (column `h`, long, without nulls) that may occur twice or more."""
+def _of_column(frame: pd.DataFrame) -> Iterator[np.ndarray]:
+    yield frame["h"].to_numpy(np.int64)
+
+
+def repeats(
+    rows: DataFrame,
+    hashes_of: Callable[[pd.DataFrame], Iterator[np.ndarray]] = _of_column,
+    bits: int = BITS,
+) -> np.ndarray:
+    """The filter of all hashes that may occur twice or more. `hashes_of` gives those of some rows;
+    by default they are the column `h` (long, without nulls)."""
     size = min(SEGMENT_BYTES, bits // 8)
 
     def filters(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, again = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         for frame in frames:
-            own, count = np.unique(frame["h"].to_numpy(np.int64), return_counts=True)
-            at = positions(own, bits)
-            repeated = (count > 1) | _test(seen, at)
-            _set(again, at[:, repeated])
-            _set(seen, at)
+            for hashes in hashes_of(frame):
+                own, count = np.unique(hashes, return_counts=True)
+                at = positions(own, bits)
+                repeated = (count > 1) | _test(seen, at)
+                _set(again, at[:, repeated])
+                _set(seen, at)
         yield from _segments(seen, again, size)
 
-    parts = hashes.mapInPandas(filters, "segment long, seen binary, again binary")
+    parts = rows.mapInPandas(filters, "segment long, seen binary, again binary")
     merged = (
         parts.repartition("segment")
         .sortWithinPartitions("segment")
@@ -146,7 +156,7 @@ def maybe_repeated(table: DataFrame, column: str, bits: int = BITS) -> Column:
     """A column for `table`: true where the hash in `column` (long) may occur in another row too.
     True for every hash that does; false for a null."""
     hashes = table.select(F.col(column).alias("h")).where(F.col("h").isNotNull())
-    return _probe(table, repeats(hashes, bits), column, bits)
+    return _probe(table, repeats(hashes, bits=bits), column, bits)
 
 
 def maybe_in(table: DataFrame, column: str, keys: DataFrame, bits: int = BITS) -> Column:

@@ -32,8 +32,8 @@ from .suffix_array import same_prefix, suffix_array, words
 
 LENGTH, GRAM = 100, 40
 STRETCHES = 32_768
-BLOCK = 4 << 20
-BITS = 1 << 28
+BLOCK = 1 << 20
+BITS = bloom.BITS
 
 Stage = Callable[[str, DataFrame], DataFrame]
 
@@ -82,11 +82,16 @@ def stretches(raw: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]
         yield hashes, first + k, last + k
 
 
-def _anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for text in frame["text"]:
-            for hashes, _, _ in stretches(text.encode()):
-                yield pd.DataFrame({"h": hashes})
+def _anchors(frame: pd.DataFrame) -> Iterator[np.ndarray]:
+    """The hashes of all anchors of the texts, of some hundred texts at a time."""
+    held: list[np.ndarray] = []
+    for text in frame["text"]:
+        held += [hashes for hashes, _, _ in stretches(text.encode())]
+        if len(held) >= 500:
+            yield np.concatenate(held)
+            held = []
+    if held:
+        yield np.concatenate(held)
 
 
 class _Block:
@@ -184,20 +189,23 @@ def _cut(text: str, spans: list) -> tuple[int, int, str]:
 def repeated(bodies: DataFrame, stage: Stage, bits: int = BITS) -> DataFrame:
     """(no, doc_id, tie, start, end): repeated runs of bytes of `bodies` (no, doc_id, tie, text), which
     are different texts. Runs may overlap."""
-    hashes = bodies.select("text").mapInPandas(_anchors, "h long")
-    again = bloom.repeats(hashes, bits)
+    again = bloom.repeats(bodies.select("text"), _anchors, bits)
     shared = bloom.Filter(bodies.sparkSession, again, bits)
 
     def moved(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, rows = ["anchor", *KEY, "start", "bytes"], []
         for frame in frames:
             for no, doc_id, tie, text in zip(*[frame[c] for c in [*KEY, "text"]], strict=True):
-                raw, rows = text.encode(), []
+                raw = text.encode()
                 for own, first, last in stretches(raw):
                     hit = shared.test(own)
-                    for h, a, b in zip(own[hit], first[hit], last[hit], strict=True):
-                        rows.append((h, no, doc_id, tie, a, raw[a : b + LENGTH]))
-                if rows:
-                    yield pd.DataFrame(rows, columns=["anchor", *KEY, "start", "bytes"])
+                    ends = (last[hit] + LENGTH).tolist()
+                    for h, a, b in zip(own[hit].tolist(), first[hit].tolist(), ends, strict=True):
+                        rows.append((h, no, doc_id, tie, a, raw[a:b]))
+                if len(rows) >= 10_000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+        yield pd.DataFrame(rows, columns=names)
 
     kind = "anchor long, no boolean, doc_id long, tie long, start long, bytes binary"
     parts = stage("stretches", bodies.mapInPandas(moved, kind)).withColumn(
