@@ -13,9 +13,9 @@ sets (of 64-bit hashes of shingles). Groups are the connected components of the
 * Candidates, in place of all pairs of a bucket: first each class with one hub, the class of its
   buckets that shares most buckets in all. What is confirmed is grouped. Then, in buckets whose classes
   are still in different groups, the members outside the bucket's largest group are compared by their
-  sketches with all members, in cells of bounded size; only likely pairs of different groups come
-  out, are confirmed, and join groups. So no link between groups is lost, whatever the size of a
-  bucket, and pairs within a group are never listed.
+  sketches with all members, in cells of bounded size, and likely pairs of different groups are
+  confirmed there; only links come out, and join groups. So no link between groups is lost, whatever
+  the size of a bucket, and pairs within a group are never listed.
 
 Defined cases: a null or empty text or one without words has an empty set and is linked with
 nothing. A null doc_id comes last: a group of nulls alone has a null component_id and its `kept` is
@@ -40,7 +40,7 @@ from .text import Memo
 
 BANDS, ROWS = 42, 6
 SLOTS = BANDS * ROWS
-CELL = 1_000
+CELL = 500_000
 # Of SLOTS bytes of two sketches so many are equal if the similarity is 0.8, less six deviations.
 LIKELY = 160
 
@@ -163,84 +163,107 @@ def _stars(members: DataFrame, stage: Stage, percent: int) -> tuple[DataFrame, D
     return weighed, stage("first", best.select("a", F.col("hub.node").alias("b")))
 
 
-def _cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Likely pairs of each cell; rows come sorted by cell, one cell is held at a time."""
-    held: list[tuple] = []
-    cell = None
-
-    def pairs() -> pd.DataFrame:
-        found = set()
-        probes = [r for r in held if r[3]]
-        everyone = [r for r in held if not r[3]]
-        if probes and everyone:
-            table = np.frombuffer(b"".join(r[2] for r in everyone), np.uint8).reshape(-1, SLOTS)
-            sizes = np.array([r[4] for r in everyone])
-            for node, comp, sketch, _, n in probes:
-                equal = (table == np.frombuffer(sketch, np.uint8)).sum(axis=1)
-                # Sizes that differ by more than a fourth can't reach the threshold of 0.8.
-                near = (equal >= LIKELY) & (4 * np.maximum(sizes, n) <= 5 * np.minimum(sizes, n) + 4)
-                for k in np.flatnonzero(near):
-                    if everyone[k][1] != comp:
-                        found.add((max(node, everyone[k][0]), min(node, everyone[k][0])))
-        return pd.DataFrame(sorted(found), columns=["a", "b"])
-
-    for frame in frames:
-        keys = zip(frame["bucket"], frame["i"], frame["j"], strict=True)
-        rows = zip(
-            frame["node"], frame["comp"], frame["sketch"], frame["probe"], frame["n"], strict=True
-        )
-        for key, row in zip(keys, rows, strict=True):
-            if key != cell:
-                if held:
-                    yield pairs()
-                held, cell = [], key
-            held.append(row)
-    if held:
-        yield pairs()
-
-
-def _rest(weighed: DataFrame, groups: DataFrame, sketches: DataFrame, stage: Stage) -> DataFrame:
-    """Likely pairs (a, b) of different groups that share a bucket."""
+def _cell_links(
+    bucket: int, held: list[dict], shingler: Shingler, percent: int
+) -> list[tuple[bytes, bytes]]:
+    """Confirmed links of the cell's probes to members of other groups: of each probe one link to a
+    group. A pair is dealt with in the first of the buckets it shares."""
+    probes = [r for r in held if r["probe"]]
+    members = [r for r in held if not r["probe"]]
+    if not probes or not members:
+        return []
+    sets: dict[bytes, np.ndarray] = {}
+
+    def set_of(row: dict) -> np.ndarray:
+        if row["node"] not in sets:
+            sets[row["node"]] = shingler.set_of(row["text"])
+        return sets[row["node"]]
+
+    table = np.frombuffer(b"".join(r["sketch"] for r in members), np.uint8).reshape(-1, SLOTS)
+    places = np.stack([r["buckets"] for r in members])
+    sizes = np.array([r["n"] for r in members])
+    links = []
+    for probe in probes:
+        n = probe["n"]
+        near = 100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)
+        near &= (table == np.frombuffer(probe["sketch"], np.uint8)).sum(axis=1) >= LIKELY
+        joined = {probe["comp"]}
+        for k in np.flatnonzero(near):
+            other = members[k]
+            if other["comp"] in joined:
+                continue
+            shared = places[k] == probe["buckets"]
+            if places[k][shared.argmax()] != bucket:
+                continue
+            if linked(set_of(probe), set_of(other), percent):
+                joined.add(other["comp"])
+                links.append((probe["node"], other["node"]))
+    return links
+
+
+def _rest(
+    weighed: DataFrame, groups: DataFrame, texts: DataFrame, width: int, percent: int, stage: Stage
+) -> DataFrame:
+    """Links (a, b) between different groups whose members share a bucket."""
     grouped = stage(
         "grouped",
         weighed.join(groups, "node", "left").select(
             "bucket", "node", "n", F.coalesce("comp", "node").alias("comp")
         ),
     )
-    per_group = grouped.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
+    per_group = grouped.groupBy("bucket", "comp").agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")
+    )
+    main = F.max(F.struct("k", "comp", "n")).alias("main")
     mixed = stage(
         "mixed",
         per_group.groupBy("bucket")
-        .agg(
-            F.max(F.struct("k", "comp")).alias("main"),
-            F.sum("k").alias("total"),
-            F.count(F.lit(1)).alias("groups"),
-        )
+        .agg(main, F.sum("n").alias("total"), F.count(F.lit(1)).alias("groups"))
         .where(F.col("groups") > 1)
-        .select("bucket", F.col("main.comp").alias("main"), "total", (F.col("total") - F.col("main.k")).alias("others")),
-    )
-    open_ = grouped.join(mixed, "bucket").join(sketches, "node")
-    # A cell holds about CELL of all members and CELL of those outside the largest group.
-    blocks, chunks = (F.ceil(F.col(c) / CELL).cast("int") - 1 for c in ("total", "others"))
-    spread = F.xxhash64("node")
-    columns = ["bucket", "node", "comp", "n", "sketch"]
-    zero = F.lit(0)
-    everyone = open_.select(
+        .select(
+            "bucket",
+            F.col("main.comp").alias("main"),
+            F.ceil(F.col("total") / CELL).cast("int").alias("blocks"),
+            F.ceil((F.col("total") - F.col("main.n")) / CELL).cast("int").alias("chunks"),
+        ),
+    )
+    # A cell holds about CELL shingles of all members and as many of those outside the largest group.
+    placed = grouped.join(mixed, "bucket").withColumn("spread", F.xxhash64("node"))
+    columns = ["bucket", "node", "comp", "n"]
+    everyone = placed.select(
         *columns,
         F.lit(False).alias("probe"),
-        F.pmod(spread, blocks + 1).cast("int").alias("i"),
-        F.explode(F.sequence(zero, chunks)).alias("j"),
+        F.pmod("spread", "blocks").cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"),
     )
-    probes = open_.where(F.col("comp") != F.col("main")).select(
+    probes = placed.where(F.col("comp") != F.col("main")).select(
         *columns,
         F.lit(True).alias("probe"),
-        F.explode(F.sequence(zero, blocks)).alias("i"),
-        F.pmod(spread, chunks + 1).cast("int").alias("j"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"),
+        F.pmod("spread", "chunks").cast("int").alias("j"),
     )
-    cells = everyone.unionByName(probes).repartition("bucket", "i", "j")
+    cells = everyone.unionByName(probes).join(texts, "node").repartition("bucket", "i", "j")
     ordered = cells.sortWithinPartitions("bucket", "i", "j")
-    found = ordered.mapInPandas(_cells, "a binary, b binary")
-    return stage("second", found.distinct())
+
+    def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come sorted by cell; one cell is held at a time."""
+        shingler = Shingler(width)
+        cell, held = None, []
+        for frame in frames:
+            links = []
+            for row in frame.to_dict("records"):
+                key = row["bucket"], row["i"], row["j"]
+                if key != cell:
+                    if held:
+                        links += _cell_links(cell[0], held, shingler, percent)
+                    cell, held = key, []
+                held.append(row)
+            yield pd.DataFrame(links, columns=["a", "b"])
+        if held:
+            links = _cell_links(cell[0], held, shingler, percent)
+            yield pd.DataFrame(links, columns=["a", "b"])
+
+    return stage("more", ordered.mapInPandas(compared, "a binary, b binary"))
 
 
 def _confirmed(
@@ -294,7 +317,7 @@ def decisions(
     wanted = stage(
         "wanted",
         classes.join(involved, "node", "left_semi").select(
-            "node", "least.doc_id", "least.place"
+            "node", "least.place", "buckets", "sketch"
         ),
     )
     # A text is moved only if its place may be wanted.
@@ -302,14 +325,14 @@ def decisions(
     near = placed.where(bloom.maybe_in(placed, "place", wanted.select("place"), bits))
     texts = stage(
         "texts",
-        wanted.select("node", "place").join(near, "place").groupBy("node").agg(F.first("text").alias("text")),
-    )
+        wanted.join(near, "place")
+        .groupBy("node")
+        .agg(*[F.first(c).alias(c) for c in ("text", "buckets", "sketch")]),
+    )
 
     links = _confirmed(first, texts, width, percent, "links", stage)
-    groups = components(links, stage)
-    sketches = classes.select("node", "sketch")
-    second = _rest(weighed, stage("groups", groups), sketches, stage)
-    more = _confirmed(second, texts, width, percent, "more", stage)
+    groups = stage("groups", components(links, stage))
+    more = _rest(weighed, groups, texts, width, percent, stage)
     groups = stage("all_groups", components(links.unionByName(more), stage))
 
     least = classes.select("node", "least").join(groups, "node")
