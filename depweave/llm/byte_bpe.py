@@ -36,8 +36,9 @@ class PrefixTable:
     def append(self, more: bytes) -> None:
         start = len(self.data)
         self.data += more
-        for end in range(start + 1, len(self.data) + 1):
-            self.last.append(self.model._last(self.data, end, self.last))
+        last, step, data = self.last, self.model._last, self.data
+        for end in range(start + 1, len(data) + 1):
+            last.append(step(data, end, last))
 
     def edit(self, start: int, end: int, new: bytes) -> int:
         """Replaces data[start:end]; returns how many entries were computed."""
@@ -136,17 +137,26 @@ class ByteBPE:
         return known
 
     def _last(self, data: bytes, end: int, last: list[int]) -> int:
+        endings, ranks, pairs = self.endings, self.ranks, self._pairs
         candidates = []
         for start in range(end - 1, -1, -1):
             ending = data[start:end]
-            if ending not in self.endings:
+            if ending not in endings:
                 break
-            token = self.ranks.get(ending)
+            token = ranks.get(ending)
             if token is not None:
                 candidates.append((start, token))
         for start, token in reversed(candidates):
-            if self._is_valid(token) and (start == 0 or self._fit(last[start - 1], token)):
-                return token
+            if start == 0:
+                if self._is_valid(token):
+                    return token
+            else:
+                known = pairs.get((last[start - 1], token))
+                if known is None:
+                    known = self._is_valid(token) and self._fit(last[start - 1], token)
+                    pairs[last[start - 1], token] = known
+                if known:
+                    return token
         raise ValueError("the vocabulary lacks a byte")
 
     def encode_piece(self, piece: str) -> list[int]:

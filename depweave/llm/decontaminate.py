@@ -65,14 +65,16 @@ class Scanner:
                 self.words.setdefault(w, len(self.words) + 1) for w in window.encode().split()
             )
             self.automaton.add_word(numbers, (len(numbers), ids))
-        self.automaton.make_automaton()
+        if block:
+            self.automaton.make_automaton()
 
     def scan(self, text: str) -> tuple[int, list[tuple[int, int]], set[str]]:
         """Number of words, merged spans of hit words, items with a window in the text."""
         numbers = [self.words.get(w, 0) for w in folded(text).split()]
         spans: list[list[int]] = []
         items: set[str] = set()
-        for end, (length, ids) in self.automaton.iter(tuple(numbers)):
+        # Without windows there is no automaton.
+        for end, (length, ids) in self.automaton.iter(tuple(numbers)) if self.words else ():
             start = end - length + 1
             while spans and spans[-1][1] >= start:
                 start = min(start, spans.pop()[0])
