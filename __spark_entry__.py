@@ -182,7 +182,8 @@ def go_imports(x: _Inputs) -> DataFrame:
 
 
 def go_outer_join(x: _Inputs) -> DataFrame:
-    joined = graph.go_file_deps(x.files, x.go_deps())
+    # Written once: the join and what is left over read the names, not the texts again.
+    joined = graph.go_file_deps(x.files, x.stage("go_deps", x.go_deps()))
     return joined.select("id", "repo", F.array_size("deps").cast("long").alias("n_deps"))
 
 
@@ -191,7 +192,7 @@ def go_edges(x: _Inputs) -> DataFrame:
 
 
 def go_edges_with_orphans(x: _Inputs) -> DataFrame:
-    return graph.go_edges(x.files, x.go_deps(), keep_orphans=True)
+    return graph.go_edges(x.files, x.stage("go_deps", x.go_deps()), keep_orphans=True)
 
 
 def go_top_repos(x: _Inputs) -> DataFrame:

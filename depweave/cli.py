@@ -66,23 +66,25 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
     contents = read_contents(spark, args.contents, args.format)
     files = read_files(spark, args.files, args.format)
     results, stages = Results(spark, args.out, args.lang), Stages(spark)
-    if args.lang == "python":
-        stopwords = read_stopwords(spark, args.stopwords) if args.stopwords else None
-        python_batch(
-            contents,
-            files,
-            results.read("repos"),
-            stages.write,
-            results.write,
-            k=args.k,
-            n=args.n,
-            b=args.b,
-            stopwords=stopwords,
-        )
-    else:
-        go_batch(contents, files, stages.write, results.write, k=args.k, n=args.n)
-    # All results are written.
-    stages.remove()
+    try:
+        if args.lang == "python":
+            stopwords = read_stopwords(spark, args.stopwords) if args.stopwords else None
+            python_batch(
+                contents,
+                files,
+                results.read("repos"),
+                stages.write,
+                results.write,
+                k=args.k,
+                n=args.n,
+                b=args.b,
+                stopwords=stopwords,
+            )
+        else:
+            go_batch(contents, files, stages.write, results.write, k=args.k, n=args.n)
+    finally:
+        # All results are written, or the job has failed.
+        stages.remove()
 
 
 def refresh(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 
 def full_name(user: str = "user", repo_name: str = "repo_name") -> Column:
-    return F.concat_ws("/", user, repo_name)
+    """`user/repo_name`; an empty CSV field comes as null and is an empty part."""
+    parts = [F.coalesce(F.col(name), F.lit("")) for name in (user, repo_name)]
+    return F.concat(parts[0], F.lit("/"), parts[1])
 
 
 def not_fork(fork: str = "fork") -> Column:

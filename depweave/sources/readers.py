@@ -41,12 +41,22 @@ def read_files(
 def read_repos(spark: SparkSession, path: str, lang: str, mode: str = "FAILFAST") -> DataFrame:
     """Repositories from CSV with a header row that is skipped; columns go by position.
 
-    A row that does not fit, such as stars that are no number, fails the job; with another `mode`
-    it is kept with nulls (PERMISSIVE) or left out (DROPMALFORMED).
+    A row that does not fit, by its number of fields or by stars that are no number, fails the job,
+    also where only some columns are used; with another `mode` it is kept with nulls (PERMISSIVE) or
+    left out (DROPMALFORMED). Blanks around a field are cut off.
     """
     lang = check_language(lang)
     schema = REPOS_PYTHON if lang == "python" else REPOS_GO
-    return spark.read.csv(path, schema=schema, header=True, escape='"', mode=mode)
+    reader = spark.read.option("columnPruning", False)
+    return reader.csv(
+        path,
+        schema=schema,
+        header=True,
+        escape='"',
+        mode=mode,
+        ignoreLeadingWhiteSpace=True,
+        ignoreTrailingWhiteSpace=True,
+    )
 
 
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:

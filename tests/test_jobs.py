@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import _Inputs
 from depweave import cli
-from depweave.operators import flowers, graph
+from depweave.operators import flowers, graph, resolve
 from depweave.schemas import CONTENTS, FILES
 from depweave.sinks import Results
 from depweave.sources import (
@@ -81,6 +81,22 @@ def test_readers(spark, folder):
             call()
 
 
+@pytest.mark.parametrize("row", ["b,y,1,2", "c,z,1", "d,w,1,2,0,9"])
+def test_csv_rows_of_other_lengths_fail_where_columns_are_pruned(spark, tmp_path, row):
+    (tmp_path / "r.csv").write_text(f"user,repo_name,n,stars,fork\na,x,1,2,0\n{row}\n")
+    repos = read_repos(spark, str(tmp_path / "r.csv"), "python")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        resolve.best_repo(resolve.repo_dimension(repos)).collect()
+
+
+def test_blank_padded_and_empty_csv_fields(spark, tmp_path):
+    (tmp_path / "r.csv").write_text('user,repo_name,n,stars,fork\n,y,1, 3,0\n')
+    repos = read_repos(spark, str(tmp_path / "r.csv"), "python")
+    assert [r.stars for r in repos.collect()] == [3]
+    best = resolve.best_repo(resolve.repo_dimension(repos)).collect()
+    assert [r.dst for r in best] == ["/y"]
+
+
 def test_bad_csv_row_fails(spark, tmp_path):
     (tmp_path / "r.csv").write_text('user,repo_name,n,stars,fork\na,"x, ""y""",1,2,0\nb,z,1,many,0\n')
     with pytest.raises(Exception, match="(?i)malformed|cannot be parsed|NumberFormat"):
