@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from functools import cache
 from itertools import chain
 
+import ahocorasick
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -34,11 +35,8 @@ class PrefixTable:
         self.append(data)
 
     def append(self, more: bytes) -> None:
-        start = len(self.data)
         self.data += more
-        last, step, data = self.last, self.model._last, self.data
-        for end in range(start + 1, len(data) + 1):
-            last.append(step(data, end, last))
+        self.model.fill(self.data, self.last)
 
     def edit(self, start: int, end: int, new: bytes) -> int:
         """Replaces data[start:end]; returns how many entries were computed."""
@@ -56,13 +54,8 @@ class PrefixTable:
         return len(self.data) - start
 
     def ids(self) -> list[int]:
-        if self.data in self.model.ranks:
-            return [self.model.ranks[self.data]]
-        found, end = [], len(self.data)
-        while end:
-            found.append(self.last[end - 1])
-            end -= len(self.model.tokens[found[-1]])
-        return found[::-1]
+        whole = self.model.ranks.get(self.data)
+        return [whole] if whole is not None else self.model.read_off(self.last)
 
 
 class ByteBPE:
@@ -71,6 +64,10 @@ class ByteBPE:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self.endings = {token[k:] for token in ranks for k in range(len(token))}
+        self.matches = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            self.matches.add_word(token.decode("latin-1"), (rank, len(token)))
+        self.matches.make_automaton()
         self._splits: dict[int, tuple[int, int] | None] = {}
         self._edges: dict[tuple[int, int], list[tuple[bytes, int, float]]] = {}
         self._pairs: dict[tuple[int, int], bool] = {}
@@ -93,12 +90,8 @@ class ByteBPE:
         """The two tokens that merging joins last to make `token`; None for a byte or for a token
         that merging never makes."""
         if token not in self._splits:
-            data, found = self.tokens[token], None
-            for cut in range(1, len(data)):
-                left, right = self.ranks.get(data[:cut]), self.ranks.get(data[cut:])
-                if left is not None and right is not None and self.merged(data, 2) == [left, right]:
-                    found = (left, right)
-            self._splits[token] = found
+            parts = self.merged(self.tokens[token], 2)
+            self._splits[token] = (parts[0], parts[1]) if len(parts) == 2 else None
         return self._splits[token]
 
     def _is_valid(self, token: int) -> bool:
@@ -121,48 +114,87 @@ class ByteBPE:
     def _fit(self, one: int, two: int) -> bool:
         """Whether merging never joins anything across the two: no pair of their edges makes a token
         of a rank at which both still stand. Of equal ranks the leftmost goes first."""
-        key = (one, two)
-        known = self._pairs.get(key)
+        ranks = self.ranks
+        left, right = iter(self._edge(one, 1)), iter(self._edge(two, 0))
+        a, made_a, until_a = next(left)
+        b, made_b, until_b = next(right)
+        while True:
+            rank = ranks.get(a + b)
+            if rank is not None and made_a < rank > made_b:
+                if rank < until_a and rank <= until_b:
+                    return False
+            # Back in time: what was made last is taken apart; of equal ranks that is the right one.
+            if made_a > made_b:
+                a, made_a, until_a = next(left)
+            elif made_b >= 0:
+                b, made_b, until_b = next(right)
+            else:
+                return True
+
+    def _follows(self, one: int, token: int) -> bool:
+        """Whether `token` can stand after the token `one`, or first if that is -1; kept for pairs
+        seen before."""
+        known = self._pairs.get((one, token))
         if known is None:
             if len(self._pairs) > 500_000:
                 self._pairs.clear()
-            known, ranks = True, self.ranks
-            for a, made_a, until_a in self._edge(one, 1):
-                for b, made_b, until_b in self._edge(two, 0):
-                    rank = ranks.get(a + b)
-                    if rank is not None and made_a < rank > made_b:
-                        if rank < until_a and rank <= until_b:
-                            known = False
-            self._pairs[key] = known
+            known = self._is_valid(token) and (one < 0 or self._fit(one, token))
+            self._pairs[one, token] = known
         return known
 
+    def fill(self, data: bytes, last: list[int]) -> None:
+        """Goes on with `last` up to the end of `data`. One scan finds the tokens that end at each
+        place, the longest first; those that start before what is new are among them."""
+        base = max(0, len(last) + 1 - self.longest)
+        pairs, follows = self._pairs, self._follows
+        place = len(last) - base
+        for at, (token, size) in self.matches.iter(data[base:].decode("latin-1")):
+            if at != place:
+                if at > place:
+                    raise ValueError("the vocabulary lacks a byte")
+                continue
+            start = base + at + 1 - size
+            one = last[start - 1] if start else -1
+            fits = pairs.get((one, token))
+            if fits is None:
+                fits = follows(one, token)
+            if fits:
+                last.append(token)
+                place += 1
+        if len(last) != len(data):
+            raise ValueError("the vocabulary lacks a byte")
+
+    def read_off(self, last: list[int]) -> list[int]:
+        """The encoding that a prefix table says, from its end."""
+        found, end = [], len(last)
+        while end:
+            found.append(last[end - 1])
+            end -= len(self.tokens[found[-1]])
+        return found[::-1]
+
     def _last(self, data: bytes, end: int, last: list[int]) -> int:
-        endings, ranks, pairs = self.endings, self.ranks, self._pairs
+        """One entry of a prefix table, for edits."""
         candidates = []
         for start in range(end - 1, -1, -1):
             ending = data[start:end]
-            if ending not in endings:
+            if ending not in self.endings:
                 break
-            token = ranks.get(ending)
+            token = self.ranks.get(ending)
             if token is not None:
                 candidates.append((start, token))
         for start, token in reversed(candidates):
-            if start == 0:
-                if self._is_valid(token):
-                    return token
-            else:
-                known = pairs.get((last[start - 1], token))
-                if known is None:
-                    known = self._is_valid(token) and self._fit(last[start - 1], token)
-                    pairs[last[start - 1], token] = known
-                if known:
-                    return token
+            if self._follows(last[start - 1] if start else -1, token):
+                return token
         raise ValueError("the vocabulary lacks a byte")
 
     def encode_piece(self, piece: str) -> list[int]:
         data = piece.encode()
         whole = self.ranks.get(data)
-        return [whole] if whole is not None else PrefixTable(self, data).ids()
+        if whole is not None:
+            return [whole]
+        last: list[int] = []
+        self.fill(data, last)
+        return self.read_off(last)
 
     def _split(self, text: str) -> list[int]:
         return [x for match in self.pattern.findall(text) for x in self.encode_piece(match)]
