@@ -168,9 +168,8 @@ def py_top_partners(x: _Inputs) -> DataFrame:
 
 
 def py_top_partners_split(x: _Inputs) -> DataFrame:
-    """As `py_top_partners`, with limits low enough that repositories are dealt with as hot ones
-    and cut into blocks."""
-    return cooccur.top_partners(x.known(), B, hot_deps=20, block=16, stage=x.stage)
+    """As `py_top_partners`, with repositories cut into small blocks."""
+    return cooccur.top_partners(x.known(), B, block=16, stage=x.stage)
 
 
 def py_top_pairs(x: _Inputs) -> DataFrame:

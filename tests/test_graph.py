@@ -117,19 +117,18 @@ def random_known(seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("limits", [(20, 1_000), (50, 8), (5_000, 7)])
-def test_partners_do_not_depend_on_limits(spark, seed, limits):
+@pytest.mark.parametrize("block", [1_000, 7])
+def test_partners_do_not_depend_on_blocks(spark, seed, block):
     known = random_known(seed)
     table = spark.createDataFrame(known, KNOWN).cache()
     pairs = brute_pairs(known)
-    hot_deps, block = limits
     for b in (3, 400):
-        found = cooccur.top_partners(table, b, hot_deps, block).collect()
+        found = cooccur.top_partners(table, b, block).collect()
         assert {tuple(row) for row in found} == brute_partners(pairs, b)
         assert len(found) == len(brute_partners(pairs, b))
     best = sorted(pairs, key=lambda pair: (-pairs[pair], pair))[:10]
     expected = [(rank, *pair, pairs[pair]) for rank, pair in enumerate(best)]
-    found = cooccur.top_pairs(table, 10, hot_deps, block).orderBy("rank").collect()
+    found = cooccur.top_pairs(table, 10, block).orderBy("rank").collect()
     assert [tuple(row)[:4] for row in found] == expected
     if seed == 1:
         counted = cooccur.pair_counts(table, block).collect()
@@ -138,19 +137,51 @@ def test_partners_do_not_depend_on_limits(spark, seed, limits):
     table.unpersist()
 
 
-def test_hopeless_rows_only_are_dropped(spark, monkeypatch):
-    monkeypatch.setattr(cooccur, "FLOORS", 3)
-    known = random_known(3)
-    table = spark.createDataFrame(known, KNOWN)
-    found = cooccur.top_partners(table, 5).collect()
-    assert {tuple(row) for row in found} == brute_partners(brute_pairs(known), 5)
+def power_law_known(seed):
+    """A few names are nearly everywhere, most in one or two repositories."""
+    dice = random.Random(seed)
+    name = lambda: f"d{int(200 / (1 + 199 * dice.random())) + dice.randrange(3):03d}"
+    known = {(f"r{repo:02d}", name()) for repo in range(60) for _ in range(dice.randint(1, 40))}
+    return sorted(known | {(f"r{repo:02d}", f"own{repo}x{i}") for repo in range(9) for i in range(9)})
 
 
-def test_only_hot_repositories(spark):
-    known = [("a", f"d{i}") for i in range(30)] + [("b", f"d{i}") for i in range(20, 60)]
+@pytest.mark.parametrize("b", [1, 2, 5, 30])
+def test_partners_of_a_power_law(spark, b):
+    known = power_law_known(b)
     table = spark.createDataFrame(known, KNOWN)
-    found = cooccur.top_partners(table, 4, hot_deps=5).collect()
-    assert {tuple(row) for row in found} == brute_partners(brute_pairs(known), 4)
+    pairs = brute_pairs(known)
+    found = cooccur.top_partners(table, b).collect()
+    assert {tuple(row) for row in found} == brute_partners(pairs, b)
+    best = sorted(pairs, key=lambda pair: (-pairs[pair], pair))[:b]
+    found = cooccur.top_pairs(table, b).orderBy("rank").collect()
+    assert [tuple(row)[1:4] for row in found] == [(*pair, pairs[pair]) for pair in best]
+
+
+@pytest.mark.parametrize("names", ["same", "own"])
+def test_pairs_made_grow_with_repositories(spark, names, monkeypatch):
+    """Large repositories are all dealt with alike: what is paired grows in proportion."""
+    made, pairs_of = [], cooccur._pairs
+
+    def watched(*args):
+        made.append(pairs_of(*args))
+        return made[-1]
+
+    monkeypatch.setattr(cooccur, "_pairs", watched)
+    for repos in (8, 12):
+        own = "r.id" if names == "own" else "0"
+        table = spark.sql(
+            f"SELECT concat('r', r.id) AS repo, concat('d', {own}, 'x', d.id) AS dep"
+            f" FROM range({repos}) r CROSS JOIN range(300) d"
+        )
+        cooccur.top_partners(table, 3, block=100)
+    assert made[0].count() <= 8 * 300 * 4
+    assert made[1].count() * 8 <= made[0].count() * 12
+
+
+def test_no_pairs(spark):
+    for known in ([], [("a", "x"), ("b", "x")]):
+        table = spark.createDataFrame(known, KNOWN)
+        assert cooccur.top_partners(table).count() == cooccur.top_pairs(table).count() == 0
 
 
 def test_documents_of_pairs(spark):

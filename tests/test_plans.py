@@ -121,7 +121,7 @@ def test_hot_repository(skewed_session):
         many(skewed_session, 3_000, ["if(id % 3 = 0, 'hot', concat('r', id % 400)) repo", "concat('m', id) dep"]),
     )
     large = stage("large", cooccur._large(known, 50))
-    pairs = cooccur._pairs(known.select("repo", "dep", F.lit(0).alias("mask")), large, 50)
+    pairs = cooccur._pairs(known.select("repo", "dep"), large, 50)
     made = pairs.withColumn("task", F.spark_partition_id())
     assert pairs.count() > 1000 * 999 // 2
     assert made.groupBy("task").count().where("count > 20000").count() == 8
