@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -11,10 +12,19 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from depweave.functions import full_name  # noqa: E402
 from depweave.operators import cooccur, extract, flowers, graph, lookup, resolve  # noqa: E402
 from depweave.plans import batch  # noqa: E402
 from depweave.plans.stages import LatestStages  # noqa: E402
-from depweave.sources import corpus  # noqa: E402
+from depweave.sinks import Results  # noqa: E402
+from depweave.sources import (  # noqa: E402
+    corpus,
+    read_contents,
+    read_files,
+    read_repos,
+    read_stopwords,
+    write_inputs,
+)
 from oracle_queries import ORACLE_SQL  # noqa: E402
 
 # The operators for training text and their pipeline can be taken away as a whole.
@@ -37,8 +47,10 @@ class _Inputs:
     call has written is removed."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, query: str = "shared"):
+        self.spark = spark
         self.tables = corpus(spark, sf_dir)
-        self.stage = _LATEST.of(spark, query).write
+        self.stages = _LATEST.of(spark, query)
+        self.stage = self.stages.write
 
     @property
     def files(self) -> DataFrame:
@@ -116,13 +128,21 @@ def py_edges(x: _Inputs) -> DataFrame:
     return x.py_edges()
 
 
-def py_adjacency(x: _Inputs) -> DataFrame:
-    edges = x.stage("edges", x.py_edges())
+def _adjacency(x: _Inputs, edges: DataFrame) -> DataFrame:
+    edges = x.stage("edges", edges)
     degrees = x.stage("degrees", graph.degree(edges))
     parts = graph.adjacency(edges, degrees, part_size=50)
     return parts.select("dst", "part", F.array_join("srcs", ",").alias("srcs"), "degree")
 
 
+def py_adjacency(x: _Inputs) -> DataFrame:
+    return _adjacency(x, x.py_edges())
+
+
+def go_adjacency(x: _Inputs) -> DataFrame:
+    return _adjacency(x, x.go_edges())
+
+
 def py_top_repos(x: _Inputs) -> DataFrame:
     return graph.top_repos(graph.degree(x.py_edges()), K)
 
@@ -159,6 +179,10 @@ def py_known_deps(x: _Inputs) -> DataFrame:
     return resolve.known_deps(graph.external_deps(x.files, x.imports()), best)
 
 
+def py_known_ascii_deps(x: _Inputs) -> DataFrame:
+    return resolve.known_deps_of(x.resolved(), ascii_only=True)
+
+
 def py_pair_counts(x: _Inputs) -> DataFrame:
     return cooccur.pair_counts(x.known(), stage=x.stage)
 
@@ -208,19 +232,99 @@ def go_top_flowers(x: _Inputs) -> DataFrame:
 
 
 def flower_lookup(x: _Inputs) -> DataFrame:
-    """The flowers of all repositories of the repository table that have one."""
+    """The flowers of the suppliers' repositories that have one."""
     g = x.py_graph()
-    roots = x.tables.repos.select(F.concat_ws("/", "user", "repo_name").alias("root"))
+    roots = x.tables.rivals.select(full_name().alias("root"))
     return flowers.flower_links(lookup.flower_of(flowers.flowers(g.petals, g.degrees), roots))
 
 
 def cooccur_lookup(x: _Inputs) -> DataFrame:
-    """The partners of all names of the repository table."""
+    """The partners of the names of the suppliers' repositories."""
     partners = cooccur.top_partners(x.known(), B, stage=x.stage)
-    found = lookup.cooccurs_of(partners, x.tables.repos.select("repo_name"))
+    found = lookup.cooccurs_of(partners, x.tables.rivals.select("repo_name"))
     return found.select("dep1", "dep2", "cnt")
 
 
+def flower_documents(x: _Inputs) -> DataFrame:
+    """The links and nodes that the documents of all flowers hold when they are read back."""
+    g = x.py_graph()
+    documents = flowers.flower_documents(flowers.flowers(g.petals, g.degrees))
+    layout = (
+        "nodes array<struct<id string, `group` bigint>>,"
+        " links array<struct<source string, target string>>"
+    )
+    read = x.stage("documents", documents).select("root", F.from_json("document", layout).alias("d"))
+    links = read.select("root", F.inline("d.links"))
+    return links.unionByName(read.select("root", F.inline("d.nodes")), allowMissingColumns=True)
+
+
+def partner_documents(x: _Inputs) -> DataFrame:
+    return cooccur.partner_documents(cooccur.top_partners(x.known(), B, stage=x.stage))
+
+
+def _rows_of(results: Results) -> DataFrame:
+    """(name, a, b, n, rank): the result tables of a job, read back from their files."""
+    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("long")
+
+    def rows(name: str, a="", b="", n="", rank="", table: DataFrame | None = None) -> DataFrame:
+        table = results.read(name) if table is None else table
+        texts = [F.col(c).alias(to) if c else no_text.alias(to) for c, to in ((a, "a"), (b, "b"))]
+        numbers = [
+            F.col(c).cast("long").alias(to) if c else no_number.alias(to)
+            for c, to in ((n, "n"), (rank, "rank"))
+        ]
+        return table.select(F.lit(name).alias("name"), *texts, *numbers)
+
+    links = flowers.flower_links(results.read("flowers"))
+    links = links.withColumn("link", F.concat("source", F.lit(" "), "target"))
+    top = results.read("top_flowers").select("rank", F.inline("links"))
+    tables = [
+        rows("neighbors", "dst", "src"),
+        rows("top_repos", "dst", n="degree", rank="rank"),
+        rows("flowers", "root", "link", table=links),
+        rows("top_flowers", "source", "target", rank="rank", table=top),
+        rows("counts", "name", n="n"),
+    ]
+    if results.lang == "python":
+        tables += [
+            rows("repos", "user", "repo_name", "stars", "notfork"),
+            rows("cooccurs", "dep1", "dep2", "cnt", "rank"),
+            rows("top_cooccurs", "dep1", "dep2", "cnt", "rank"),
+        ]
+    else:
+        tables.append(rows("repos", "user", "repo_name"))
+    return reduce(DataFrame.unionByName, tables)
+
+
+def python_job(x: _Inputs) -> DataFrame:
+    """The whole job from files to result tables: readers, repository table, batch."""
+    folder = f"{x.stages.path}/job"
+    write_inputs(x.tables, folder, "python")
+    results = Results(x.spark, f"{folder}/out", "python")
+    stop = read_stopwords(x.spark, f"{folder}/stopwords")
+    repos = read_repos(x.spark, f"{folder}/repos", "python")
+    results.write("repos", resolve.repo_dimension(repos, stop))
+    contents = read_contents(x.spark, f"{folder}/contents", lang="python")
+    files = read_files(x.spark, f"{folder}/files", lang="python")
+    batch.python_batch(
+        contents, files, results.read("repos"), x.stage, results.write, K, N, B, stopwords=stop
+    )
+    return _rows_of(results)
+
+
+def go_job(x: _Inputs) -> DataFrame:
+    """As `python_job`, and run twice: the second run's tables replace the first's."""
+    folder = f"{x.stages.path}/job"
+    write_inputs(x.tables, folder, "go")
+    results = Results(x.spark, f"{folder}/out", "go")
+    contents = read_contents(x.spark, f"{folder}/contents", lang="go")
+    files = read_files(x.spark, f"{folder}/files", lang="go")
+    for _ in range(2):
+        results.write("repos", resolve.go_repo_dimension(read_repos(x.spark, f"{folder}/repos", "go")))
+        batch.go_batch(contents, files, x.stage, results.write, K, N)
+    return _rows_of(results)
+
+
 def result_counts(x: _Inputs) -> DataFrame:
     resolved = x.stage("resolved", x.resolved())
     known = resolve.known_deps_of(resolved)
@@ -258,6 +362,7 @@ _QUERIES = (
     py_merged_nodes,
     py_merged_links,
     py_known_deps,
+    py_known_ascii_deps,
     py_pair_counts,
     py_top_partners,
     py_top_partners_split,
@@ -265,12 +370,17 @@ _QUERIES = (
     go_imports,
     go_outer_join,
     go_edges,
+    go_adjacency,
     go_edges_with_orphans,
     go_top_repos,
     go_flower_links,
     go_top_flowers,
     flower_lookup,
     cooccur_lookup,
+    flower_documents,
+    partner_documents,
+    python_job,
+    go_job,
     result_counts,
     graph_json,
     pairs_json,

@@ -1,14 +1,13 @@
 """Command line for spark-submit.
 
     cli.py index   --lang python --repos repos.csv --stopwords stop.txt --out results
-    cli.py batch   --lang python --contents 'c/*' --files 'f/*' --stopwords stop.txt --out results
+    cli.py batch   --lang python --contents 'c/*' --files 'f/*' --out results
     cli.py refresh --lang python --out results --site site
     cli.py flower  --lang python --out results user/name
     cli.py cooccurs --lang python --out results name
 
 `index` writes the repository table, `batch` reads it and writes the result tables, `refresh` makes
-the front-page documents. The last two print one document. `batch` needs no stop words, but given
-those of `index` it drops them early.
+the front-page documents. The last two print one document. Stop words are those of `index`.
 """
 
 from __future__ import annotations
@@ -40,7 +39,12 @@ def parser() -> argparse.ArgumentParser:
     command("index", "--repos").add_argument("--stopwords")
     batch = command("batch", "--contents", "--files")
     batch.add_argument("--format", default="parquet")
-    batch.add_argument("--stopwords")
+    batch.add_argument("--by-lang", action="store_true", help="the folders are partitioned by lang")
+    batch.add_argument("--suffix-len", type=int, default=2, help="Python")
+    batch.add_argument("--strip-cr", action="store_true", help="Python")
+    batch.add_argument("--ascii-only", action="store_true", help="Python")
+    batch.add_argument("--keep-orphans", action="store_true", help="Go")
+    batch.add_argument("--drop-self", action="store_true", help="Go")
     batch.add_argument("-k", type=int, default=5)
     batch.add_argument("-n", type=int, default=5)
     batch.add_argument("-b", type=int, default=20)
@@ -63,12 +67,12 @@ def index(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def batch(spark: SparkSession, args: argparse.Namespace) -> None:
-    contents = read_contents(spark, args.contents, args.format)
-    files = read_files(spark, args.files, args.format)
+    lang = args.lang if args.by_lang else None
+    contents = read_contents(spark, args.contents, args.format, lang)
+    files = read_files(spark, args.files, args.format, lang)
     results, stages = Results(spark, args.out, args.lang), Stages(spark)
     try:
         if args.lang == "python":
-            stopwords = read_stopwords(spark, args.stopwords) if args.stopwords else None
             python_batch(
                 contents,
                 files,
@@ -78,10 +82,21 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
                 k=args.k,
                 n=args.n,
                 b=args.b,
-                stopwords=stopwords,
+                suffix_len=args.suffix_len,
+                strip_cr=args.strip_cr,
+                ascii_only=args.ascii_only,
             )
         else:
-            go_batch(contents, files, stages.write, results.write, k=args.k, n=args.n)
+            go_batch(
+                contents,
+                files,
+                stages.write,
+                results.write,
+                k=args.k,
+                n=args.n,
+                keep_orphans=args.keep_orphans,
+                drop_self=args.drop_self,
+            )
     finally:
         # All results are written, or the job has failed.
         stages.remove()
@@ -105,6 +120,9 @@ def flower(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def cooccurs(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.lang != "python":
+        # Only Python has such a table.
+        return show([])
     table = Results(spark, args.out, args.lang).read("cooccurs")
     show(cooccur.partner_documents(lookup.cooccurs_of(table, args.key)).take(1))
 

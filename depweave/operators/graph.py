@@ -111,27 +111,21 @@ def degree(edges: DataFrame) -> DataFrame:
 def adjacency(edges: DataFrame, degrees: DataFrame, part_size: int = 10_000) -> DataFrame:
     """(dst, part, srcs, degree): dependents as sorted arrays of about `part_size`.
 
-    A repository with up to `part_size` dependents has the single part 0. A larger one is spread
-    by a hash of the dependent over `ceil(degree / part_size)` parts, so the list of a hub is never
-    gathered in one task or one row. The parts together hold every dependent once.
+    `degrees` is `degree(edges)`. Every repository's dependents are spread by a hash over
+    `ceil(degree / part_size)` parts, so the list of a hub is never gathered in one task or one row.
+    The key of the result is (dst, part); the parts together hold every dependent once, and a part
+    that no dependent falls into has no row.
     """
-    hubs = degrees.where(F.col("degree") > part_size).select(
-        "dst",
-        F.col("degree").alias("hub_degree"),
-        F.ceil(F.col("degree") / part_size).alias("parts"),
-    )
     # The first 32 bits of the digest.
     spread = F.conv(F.substring(F.md5("src"), 1, 8), 16, 10).cast("long")
-    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(spread, F.col("parts")))
-    placed = edges.join(hubs, "dst", "left").select(
-        "dst", part.cast("long").alias("part"), "src", "hub_degree"
-    )
+    part = F.pmod(spread, F.ceil(F.col("degree") / part_size))
+    placed = edges.join(degrees, "dst").select("dst", part.cast("long").alias("part"), "src", "degree")
     # Without this the rows stay where the join put them: all of a hub in one task.
     return (
         placed.repartition("dst", "part")
-        .groupBy("dst", "part", "hub_degree")
+        .groupBy("dst", "part", "degree")
         .agg(F.sort_array(F.collect_list("src")).alias("srcs"))
-        .select("dst", "part", "srcs", F.coalesce("hub_degree", F.size("srcs")).alias("degree"))
+        .select("dst", "part", "srcs", "degree")
     )
 
 

@@ -66,7 +66,7 @@ def counts_of(**tables: DataFrame) -> DataFrame:
 
 
 def _graph_results(g: Graph, k: int, result: Write) -> dict[str, DataFrame]:
-    top = graph.top_repos(g.degrees, k)
+    top = result("top_repos", graph.top_repos(g.degrees, k))
     all_flowers = result("flowers", flowers.flowers(g.petals, g.degrees))
     top_flowers = result("top_flowers", flowers.top_flowers(top, all_flowers))
     return {

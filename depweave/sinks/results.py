@@ -10,6 +10,7 @@ from ..schemas import check_language
 KEYS = {
     "repos": ("repo_name", "user"),
     "neighbors": ("dst", "src"),
+    "top_repos": ("rank",),
     "flowers": ("root",),
     "top_flowers": ("rank",),
     "cooccurs": ("dep1", "rank"),

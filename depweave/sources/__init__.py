@@ -1,6 +1,7 @@
 """Input tables."""
 
 from .corpus import corpus
+from .export import write_inputs
 from .readers import (
     read_contents,
     read_files,
@@ -18,4 +19,5 @@ __all__ = [
     "read_stopwords",
     "register_views",
     "stopwords_from_names",
+    "write_inputs",
 ]

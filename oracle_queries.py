@@ -7,51 +7,90 @@ from __future__ import annotations
 
 # Each step is (name, steps it reads, SQL).
 _STEPS = {
-    "py_contents": (
+    "items": (
+        (),
+        """
+        SELECT unnest(CASE WHEN l_orderkey % 97 = 0 THEN [l_orderkey, -1 - l_orderkey]
+                 ELSE [l_orderkey] END) AS id,
+               l_orderkey % 8 AS kind, (l_orderkey + l_partkey) % 20 AS form, l_partkey, l_returnflag
+        FROM lineitem""",
+    ),
+    "blank": (
         (),
         """
-        SELECT l_orderkey AS id, string_agg(line, chr(10) ORDER BY line) AS content
-        FROM (SELECT l_orderkey,
-                CASE l_returnflag
-                  WHEN 'A' THEN concat('import m', l_partkey)
-                  WHEN 'N' THEN concat('from m', l_partkey, '.sub import f')
+        SELECT -1099511627776 - c_custkey AS id, CAST(NULL AS VARCHAR) AS content FROM customer
+        UNION ALL SELECT -2199023255552 - s_suppkey, '' FROM supplier""",
+    ),
+    "py_contents": (
+        ("items", "blank"),
+        """
+        SELECT id, string_agg(line, chr(10) ORDER BY line) AS content
+        FROM (SELECT id, CASE
+                  WHEN form = 0 THEN concat('import m', l_partkey, ', m', l_partkey + 1)
+                  WHEN form = 1 THEN concat('from . import m', l_partkey)
+                  WHEN form = 2 THEN concat(chr(9), 'import m', l_partkey)
+                  WHEN form = 3 THEN concat('from the docs of m', l_partkey)
+                  WHEN form = 4 THEN concat('import', chr(9), 'm', l_partkey)
+                  WHEN form = 5 THEN concat('import m', l_partkey, chr(13))
+                  WHEN form = 6 THEN concat('# import m', l_partkey)
+                  WHEN form = 7 THEN concat('import m', chr(252), l_partkey)
+                  WHEN l_returnflag = 'A' THEN concat('import m', l_partkey)
+                  WHEN l_returnflag = 'N' THEN concat('from m', l_partkey, '.sub import f')
                   ELSE concat('import m', l_partkey, ',m', l_partkey + 1) END AS line
-              FROM lineitem) l
-        GROUP BY l_orderkey""",
+              FROM items) l
+        GROUP BY id
+        UNION ALL SELECT id, content FROM blank""",
     ),
     "go_contents": (
-        (),
+        ("items", "blank"),
         """
-        SELECT id, concat('package m', chr(10), 'import (', chr(10), body, chr(10), ')') AS content
-        FROM (SELECT l_orderkey AS id, string_agg(line, chr(10) ORDER BY line) AS body
-              FROM (SELECT l_orderkey,
-                      concat(chr(9), CASE l_returnflag WHEN 'N' THEN 'x ' ELSE '' END,
-                        '"github.com/',
-                        CASE WHEN c_custkey IS NULL THEN 'ext' ELSE concat('u', c_nationkey) END,
-                        '/m', l_partkey, CASE l_returnflag WHEN 'A' THEN '/sub' ELSE '' END,
-                        '"') AS line
-                    FROM lineitem LEFT JOIN customer ON c_custkey = l_partkey) l
-              GROUP BY l_orderkey) b""",
+        SELECT id, CASE kind
+            WHEN 0 THEN concat('package m', chr(10), body, chr(10), 'var q = "github.com/q/q"')
+            WHEN 2 THEN concat('package m', chr(10), 'import (', body, ')', chr(10),
+              'var q = "github.com/q/q/r"', chr(10), 'foo()', chr(10), 'bar("github.com/no/no")')
+            WHEN 3 THEN replace(block, chr(10), chr(13) || chr(10))
+            WHEN 4 THEN concat('package m', chr(10), 'var q = (', chr(10), body, chr(10), ')')
+            ELSE block END AS content
+        FROM (SELECT *, concat('package m', chr(10), 'import (', chr(10), body, chr(10), ')') AS block
+          FROM (SELECT id, kind, string_agg(line, chr(10) ORDER BY line) AS body
+            FROM (SELECT id, kind, CASE
+                    WHEN kind = 0 THEN concat('import ', path)
+                    WHEN kind = 1 AND form = 1 THEN concat(chr(9), '// ', path)
+                    WHEN kind = 1 THEN concat(chr(9), path, ' // (as "github.com/a/b")')
+                    ELSE concat(chr(9), path) END AS line
+                  FROM (SELECT id, kind, form,
+                          concat(CASE l_returnflag WHEN 'N' THEN 'x ' ELSE '' END,
+                            CASE form WHEN 0 THEN '"gopkg.in/' ELSE '"github.com/' END,
+                            CASE WHEN c_custkey IS NULL THEN 'ext' ELSE concat('u', c_nationkey) END,
+                            '/m', l_partkey, CASE l_returnflag WHEN 'A' THEN '/sub' ELSE '' END,
+                            '"') AS path
+                        FROM items LEFT JOIN customer ON c_custkey = l_partkey) p) l
+            GROUP BY id, kind) b) c
+        UNION ALL SELECT id, content FROM blank""",
     ),
     "files": (
         (),
         """
         SELECT o_orderkey AS id, concat('u', c_nationkey, '/m', c_custkey) AS repo_name,
-               concat('src/m', o_orderkey % 2000, '/f', o_orderkey, '.py') AS path
-        FROM orders JOIN customer ON o_custkey = c_custkey
-        WHERE o_orderkey % 97 <> 0""",
+               concat('src/m', o_orderkey % 2000, '/', CASE WHEN o_orderkey % 5 = 0
+                 THEN concat('m', o_orderkey * 7 % 2000) ELSE concat('f', o_orderkey) END, '.py') AS path
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
     ),
-    "repos": (
+    "rivals": (
         (),
         """
+        SELECT concat('s', s_nationkey) AS "user", concat(prefix, s_suppkey) AS repo_name,
+               CAST(0 AS BIGINT) AS num_bytes, CAST(floor(abs(s_acctbal)) AS INT) AS stars, 0 AS fork
+        FROM supplier, (VALUES ('m'), ('m' || chr(252))) n(prefix)""",
+    ),
+    "repos": (
+        ("rivals",),
+        """
         SELECT concat('u', c_nationkey) AS "user", concat('m', c_custkey) AS repo_name,
                CAST(0 AS BIGINT) AS num_bytes, CAST(floor(abs(c_acctbal)) AS INT) AS stars,
                CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 ELSE 0 END AS fork
         FROM customer
-        UNION ALL
-        SELECT concat('s', s_nationkey), concat('m', s_suppkey), CAST(0 AS BIGINT),
-               CAST(floor(abs(s_acctbal)) AS INT), 0
-        FROM supplier""",
+        UNION ALL SELECT * FROM rivals""",
     ),
     "stopwords": (
         (),
@@ -236,6 +275,22 @@ def _table(step: str, columns: str, edges: str | None = None) -> str:
     return _sql(f"SELECT {columns} FROM {step}", step, edges=edges)
 
 
+_ADJACENCY = """
+SELECT dst, part, string_agg(src, ',' ORDER BY src) AS srcs, degree FROM (
+  SELECT e.dst, e.src, d.degree, CAST('0x' || substr(md5(e.src), 1, 8) AS BIGINT)
+    % CAST(ceil(d.degree / 50.0) AS BIGINT) AS part
+  FROM edges e JOIN degrees d USING (dst)) p
+GROUP BY dst, part, degree"""
+
+# The result tables of a job in one: (name, a, b, n, rank).
+_GRAPH_ROWS = """
+        SELECT 'neighbors' AS name, dst AS a, src AS b, CAST(NULL AS BIGINT) AS n,
+               CAST(NULL AS BIGINT) AS rank FROM edges
+        UNION ALL SELECT 'top_repos', dst, NULL, degree, rank FROM top
+        UNION ALL SELECT 'flowers', root, concat(source, ' ', target), NULL, NULL FROM links
+        UNION ALL SELECT 'top_flowers', source, target, NULL, rank FROM top_links
+        UNION ALL SELECT 'counts', 'K', NULL, count(*), NULL FROM top"""
+
 ORACLE_SQL = {
     "py_import_lines": _table("py_deps", "id, dep"),
     "py_path_names": _table("py_names", "repo, name"),
@@ -251,19 +306,7 @@ ORACLE_SQL = {
     "repo_dimension": _table("dim", '"user", repo_name, stars, notfork'),
     "best_repo_per_name": _table("best", "dep, dst"),
     "py_edges": _table("py_edges", "dst, src"),
-    "py_adjacency": _sql(
-        """
-        SELECT dst, part, string_agg(src, ',' ORDER BY src) AS srcs, degree FROM (
-          SELECT e.dst, e.src, d.degree, CASE WHEN d.degree > 50 THEN
-              CAST('0x' || substr(md5(e.src), 1, 8) AS BIGINT)
-                % CAST(ceil(d.degree / 50.0) AS BIGINT)
-            ELSE 0 END AS part
-          FROM edges e JOIN degrees d USING (dst)) p
-        GROUP BY dst, part, degree""",
-        "edges",
-        "degrees",
-        edges="py_edges",
-    ),
+    "py_adjacency": _sql(_ADJACENCY, "edges", "degrees", edges="py_edges"),
     "py_top_repos": _table("top", "rank, dst, degree", edges="py_edges"),
     "py_top_neighbors": _table("neighbors", "dst, src, degree, rank", edges="py_edges"),
     "py_flower_nodes": _table("nodes", "root, repo, degree", edges="py_edges"),
@@ -297,15 +340,51 @@ ORACLE_SQL = {
     "flower_lookup": _sql(
         """
         SELECT root, source, target FROM links
-        WHERE root IN (SELECT concat(r."user", '/', r.repo_name) FROM repos r)""",
+        WHERE root IN (SELECT concat(r."user", '/', r.repo_name) FROM rivals r)""",
         "links",
-        "repos",
+        "rivals",
         edges="py_edges",
     ),
     "cooccur_lookup": _sql(
-        "SELECT dep1, dep2, cnt FROM partners WHERE dep1 IN (SELECT repo_name FROM repos)",
+        "SELECT dep1, dep2, cnt FROM partners WHERE dep1 IN (SELECT repo_name FROM rivals)",
         "partners",
-        "repos",
+        "rivals",
+    ),
+    "flower_documents": _sql(
+        """
+        SELECT root, source, target, NULL AS id, CAST(NULL AS BIGINT) AS "group" FROM links
+        UNION ALL SELECT root, NULL, NULL, repo, degree FROM nodes""",
+        "links",
+        "nodes",
+        edges="py_edges",
+    ),
+    "partner_documents": _sql(
+        """
+        SELECT dep1, concat('{"cooccurs":[', string_agg(
+          concat('[', CAST(to_json(dep2) AS VARCHAR), ',', cnt, ']'), ',' ORDER BY rank), ']}') AS document
+        FROM partners GROUP BY dep1""",
+        "partners",
+    ),
+    "py_known_ascii_deps": _sql(
+        "SELECT repo, dep FROM known WHERE strlen(dep) = length(dep)", "known"
+    ),
+    "go_adjacency": _sql(_ADJACENCY, "edges", "degrees", edges="go_edges"),
+    "python_job": _sql(
+        _GRAPH_ROWS
+        + """
+        UNION ALL SELECT 'repos', "user", repo_name, stars, notfork FROM dim
+        UNION ALL SELECT 'cooccurs', dep1, dep2, cnt, rank FROM partners
+        UNION ALL SELECT 'top_cooccurs', dep1, dep2, cnt, rank FROM top_pairs
+        UNION ALL SELECT 'counts', 'B', NULL, count(*), NULL FROM top_pairs""",
+        "edges", "top", "links", "top_links", "dim", "partners", "top_pairs",
+        edges="py_edges",
+    ),
+    "go_job": _sql(
+        _GRAPH_ROWS
+        + """
+        UNION ALL SELECT 'repos', "user", repo_name, NULL, NULL FROM repos""",
+        "edges", "top", "links", "top_links", "repos",
+        edges="go_edges",
     ),
     "result_counts": _sql(
         """

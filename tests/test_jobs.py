@@ -132,8 +132,8 @@ def test_whole_job(spark, folder, tmp_path, capsys, monkeypatch):
         run("index", *base, "--repos", f"{folder}/{lang}_repos.csv", "--stopwords", f"{folder}/stop.txt")
         inputs = ["--contents", f"{folder}/contents/lang={lang}", "--files", f"{folder}/files/lang={lang}"]
         run("batch", *base, *inputs)
-        # A second run replaces the first; stop words only make it faster.
-        run("batch", *base, *inputs, "--stopwords", f"{folder}/stop.txt")
+        # A second run, over folders by language, replaces the first.
+        run("batch", *base, "--contents", f"{folder}/contents", "--files", f"{folder}/files", "--by-lang")
         run("refresh", *base, "--site", site)
     assert "repositories:" in capsys.readouterr().out
 
@@ -174,3 +174,15 @@ def test_whole_job(spark, folder, tmp_path, capsys, monkeypatch):
     assert [dep["dep2"], dep["cnt"]] in json.loads(capsys.readouterr().out)["cooccurs"]
     run("flower", "--lang", "python", "--out", out, "no/one")
     assert capsys.readouterr().out == "not found\n"
+    run("cooccurs", "--lang", "go", "--out", out, dep["dep1"])
+    assert capsys.readouterr().out == "not found\n"
+
+
+def test_batch_options(spark, folder, tmp_path):
+    out = str(tmp_path / "out")
+    base = ["--lang", "go", "--out", out]
+    inputs = ["--contents", f"{folder}/contents/lang=go", "--files", f"{folder}/files/lang=go"]
+    run("batch", *base, *inputs, "--keep-orphans", "--drop-self")
+    edges = Results(spark, out, "go").read("neighbors")
+    assert edges.where("src IS NULL").count() > 0
+    assert edges.where("src = dst").count() == 0
