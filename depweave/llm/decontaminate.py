@@ -41,7 +41,8 @@ def windows(items: DataFrame, size: int = SIZE) -> DataFrame:
     def cut(texts: pd.Series) -> pd.Series:
         out = []
         for text in texts:
-            words = folded(text).decode().split()
+            # Only the blanks of `folded` part words; str.split() knows others, as U+00A0.
+            words = [word.decode() for word in folded(text).split()]
             last = max(len(words) - size, 0) if words else -1
             out.append([" ".join(words[i : i + size]) for i in range(last + 1)])
         return pd.Series(out)

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import tiktoken
@@ -20,6 +21,7 @@ from depweave.llm import (
     language,
     licenses,
     near_dedup,
+    queries,
     substring_dedup,
     token_count,
     toxicity,
@@ -233,6 +235,34 @@ def test_decontamination_in_blocks_and_spans(spark, odd):
     assert clean.columns == odd.columns and clean.count() == sum(not r.contaminated for r in rows)
 
 
+def by_sql(name, **tables):
+    """The rows of a query's SQL over small tables (columns, rows)."""
+    con = duckdb.connect()
+    for table_, (columns, rows) in tables.items():
+        con.execute(f"CREATE TABLE {table_} ({columns})")
+        con.executemany(f"INSERT INTO {table_} VALUES ({', '.join('?' * len(rows[0]))})", rows)
+    return con.execute(queries.ORACLE_SQL[name]).fetchall()
+
+
+def test_decontamination_keeps_other_blanks_inside_words(spark):
+    blanks = "\x85\xa0\u1680\u2000\u2028\u2029\u202f\u205f\u3000"
+    words = [f"a{k}{blanks[k % len(blanks)]}b{k}" for k in range(14)]
+    items = [(1, "prix\xa0: dix"), (2, "\u6f22\u3000\u5b57"), (3, " ".join(words))]
+    docs = [
+        (1, "le Prix\xa0: dix"), (2, "\u6f22\u3000\u5b57"), (3, "x " + " ".join(words[2:13]) + " y"),
+        (4, "le prix : dix"), (5, "\u6f22 \u5b57"), (6, " ".join(words).replace("\xa0", " ")),
+    ]
+    expected = by_sql(
+        "op10_decontamination",
+        documents=("doc_id BIGINT, text VARCHAR", docs),
+        benchmark=("item_id BIGINT, text VARCHAR", items),
+    )
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench)
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+    assert {r[0] for r in expected if r[5]} == {1, 2, 3}
+
+
 def test_licenses(spark):
     mit = licenses.TEXTS["MIT"]
     rows = [(1, "Copyright (c) 2020 A. Author\n\n" + mit.upper(), None), (2, mit + " more", None), (3, None, None)]
