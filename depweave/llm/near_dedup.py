@@ -123,8 +123,8 @@ PRINT = "n long, node binary, buckets array<long>, sketch binary"
 
 
 def _prints(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, place, n, node, buckets, sketch): `node` is the digest of the set, null if empty, and
-    `place` a hash of the text."""
+    """(uid, doc_id, place, n, node, buckets, sketch): `node` is the digest of the set, null if empty,
+    and `place` a hash of the text."""
 
     @F.pandas_udf(PRINT)
     def printed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -143,8 +143,8 @@ def _prints(docs: DataFrame, width: int) -> DataFrame:
             yield pd.DataFrame(rows, columns=["n", "node", "buckets", "sketch"])
 
     return docs.select(
-        "doc_id", F.xxhash64("text").alias("place"), printed(F.col("text")).alias("p")
-    ).select("doc_id", "place", "p.*")
+        "uid", "doc_id", F.xxhash64("text").alias("place"), printed(F.col("text")).alias("p")
+    ).select("uid", "doc_id", "place", "p.*")
 
 
 def _stars(members: DataFrame, stage: Stage, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -288,20 +288,20 @@ def _confirmed(
     return stage(name, two.where(confirm("one", "two")).select("a", "b"))
 
 
-def decisions(
-    docs: DataFrame, stage: Stage, width: int = 4, percent: int = 80, bits: int = bloom.BITS
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per row of `docs`. `percent` is 80 or more:
-    the bands are made for that."""
+def _headed(docs: DataFrame, stage: Stage, width: int, percent: int, bits: int) -> DataFrame:
+    """(uid, doc_id, n, node, head), one row per row of `docs` (uid, doc_id, text): `head` is the first
+    row of the group, with its doc_id and uid; null if the set is empty."""
     if percent < 80:
         raise ValueError("the bands are made for similarities of 0.8 and more")
-    prints = stage("prints", _prints(docs.select("doc_id", "text"), width))
+    prints = stage("prints", _prints(docs, width))
     sets = prints.where(F.col("node").isNotNull())
     classes = stage(
         "classes",
         sets.groupBy("node").agg(
             # Nulls last among doc_ids.
-            F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "place")).alias("least"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "place", "uid")).alias(
+                "least"
+            ),
             F.first("n").alias("n"),
             F.first("buckets").alias("buckets"),
             F.first("sketch").alias("sketch"),
@@ -344,7 +344,16 @@ def decisions(
             "node", F.coalesce("head", "least").alias("head")
         ),
     )
-    return prints.join(of_class, "node", "left").select(
+    return prints.join(of_class, "node", "left").select("uid", "doc_id", "n", "node", "head")
+
+
+def decisions(
+    docs: DataFrame, stage: Stage, width: int = 4, percent: int = 80, bits: int = bloom.BITS
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per row of `docs`. `percent` is 80 or more:
+    the bands are made for that."""
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
+    return _headed(rows, stage, width, percent, bits).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias(
@@ -359,19 +368,16 @@ def decisions(
 def keep_one(
     docs: DataFrame, stage: Stage, width: int = 4, percent: int = 80, bits: int = bloom.BITS
 ) -> DataFrame:
-    """The rows of `docs` whose document is the first of its group, with all their columns. Rows
-    that share a doc_id with one that goes, go with it. Rows that a Bloom filter clears of being
-    dropped are not shuffled."""
-    verdicts = decisions(docs, stage, width, percent, bits)
-    dropped = stage("dropped", verdicts.where(~F.col("kept")).select("doc_id").distinct())
+    """The rows of `docs` without those that are in a group and not its first row, with all their
+    columns: one row of each group stays, that of the smallest doc_id, nulls last; of rows alike in
+    doc_id and text any one. Rows are told apart by a number, written once with them. Rows that a Bloom
+    filter clears of being dropped are not shuffled."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(whole).withColumn("key", F.xxhash64("row.doc_id"))
-    marked = rows.withColumn(
-        "maybe", bloom.maybe_in(rows, "key", dropped.select(F.xxhash64("doc_id").alias("key")), bits)
-    )
+    rows = stage("rows", docs.select(F.monotonically_increasing_id().alias("uid"), whole))
+    headed = _headed(rows.select("uid", "row.doc_id", "row.text"), stage, width, percent, bits)
+    dropped = stage("dropped", headed.where(F.col("uid") != F.col("head.uid")).select("uid"))
+    maybe = bloom.maybe_in(rows, "uid", dropped, bits)
+    marked = rows.withColumn("maybe", maybe)
     clear = marked.where(~F.col("maybe")).select("row")
-    gone = dropped.select("doc_id", F.lit(True).alias("gone"))
-    rest = marked.where("maybe").select("row").join(
-        gone, F.col("row.doc_id").eqNullSafe(gone["doc_id"]), "left_anti"
-    )
+    rest = marked.where("maybe").join(dropped, "uid", "left_anti").select("row")
     return clear.unionByName(rest).select("row.*")

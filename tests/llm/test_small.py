@@ -124,6 +124,26 @@ def test_near_dedup_finds_every_link(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    """Groups by row, whatever the doc_ids: null, repeated over groups and within one."""
+    bases = [prose(200 + k, 60) for k in range(6)]
+    rows = [
+        (1, bases[0], "en"), (None, bases[0] + " more", "en"), (None, bases[1], "en"), (None, None, "en"),
+        (2, bases[2], "en"), (3, bases[2] + " more", "en"), (3, bases[3], "en"), (None, "", "en"),
+        (4, bases[4], "en"), (4, bases[4] + " more", "en"), (None, bases[5], "en"), (None, bases[5] + " more", "en"),
+    ]
+    groups = brute_groups(list(enumerate(t for _, t, _ in rows)), 4, 80)
+    order = {k: (groups[k][1], i is None, i or 0) for k, (i, _, _) in enumerate(rows)}
+    firsts = {group: min(v for v in order.values() if v[0] == group) for _, group in groups.values()}
+    docs = table(spark, rows)
+    kept = near_dedup.keep_one(docs, Stages(spark).write, bits=1 << 18)
+    assert kept.columns == docs.columns
+    number = {t: k for k, (_, t, _) in enumerate(rows)}
+    found = sorted(number[r.text] for r in kept.collect())
+    assert sorted(groups[k][1] for k in found) == sorted(firsts)
+    assert all(order[k] == firsts[groups[k][1]] for k in found)
+
+
 def test_super_min_hash_estimates_similarity():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 2**63, 1500).astype(np.uint64)
