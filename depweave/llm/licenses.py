@@ -2,16 +2,23 @@
 
 A text is put in canonical form: lower case, copyright lines left out, equivalent spellings made one,
 and all but letters and digits dropped. Whole canonical texts are then looked up by SHA-256 among the
-digests of known licences, in one hash join. Everything is built of SQL functions.
+digests of known licences, in hash joins. Everything is built of SQL functions.
 
-Defined cases: a null or empty text, or one with nothing but copyright lines, has no licence (its
-digest is that of the empty text). A text that is equal in canonical form to several known ones gets
-the smallest name. Repeated rows each have a row. A licence inside a longer text is not a whole text
-and is not found.
+Three forms are looked up, the first that is known counts: the canonical one, whose digest is a column
+of the result; the body, without what stands before it (copyright notices, each up to the end of
+its sentence or line, whatever follows); and the plain text with nothing left out. The last two
+don't depend on how a text is broken into lines, but for a notice that goes over a line's end.
+
+Defined cases: a null or empty text, or one with nothing but copyright notices, has no licence (the
+digest of such lines is that of the empty text). A text that is equal in one form to several known
+ones gets the smallest name. Repeated rows each have a row. A licence inside a longer text is not a
+whole text and is not found.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +34,22 @@ SPELLINGS = (
 COPYRIGHT_LINE = "(?m)^[^\\n\\p{L}\\p{N}]*(?:copyright|\\(c\\)|©)[^\\n]*$"
 OTHER = "[^\\p{L}\\p{N}]+"
 
+# How bodies begin; a notice ends there at the latest, and at a full stop that ends no abbreviation.
+_START = (
+    r"\s*(?:permission\s+(?:is\s+hereby|to\s+use)|redistribution\s+and\s+use|licensed\s+under"
+    r"|this\s+(?:software|program|library)\s+is|everyone\s+is\s+permitted|all\s+rights\s+reserved)\b"
+)
+_STOP = r"(?<=[\p{L}\p{N})>\]]{2})(?<!\b(?:inc|ltd|llc|corp|co|jr|sr|al))\.(?=\s|$)"
+# A year, or both the word and the sign, makes a notice: no "copyright holders", no item "(c)".
+_NOTICE = (
+    r"(?:copyright[ \t]*+(?:\(c\)|©)(?![\p{L}\p{N}])|(?:copyright|\(c\)|©)"
+    r"(?=[ \t:]*+[<\[(]?+(?:\p{N}{4}|yyyy|year)))"
+    rf"[^\n]*?(?:{_STOP}|(?=\n|$|{_START}))"
+)
+_RESERVED = r"all\s+rights\s+reserved\b"
+# At most 200 of them, so that the matcher's stack is bounded.
+BEFORE_BODY = rf"\A(?:[^\p{{L}}\p{{N}}(©]++|{_NOTICE}|{_RESERVED}){{0,200}}+"
+
 
 def canonical(text: Column) -> Column:
     out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
@@ -35,24 +58,56 @@ def canonical(text: Column) -> Column:
     return F.regexp_replace(out, OTHER, "")
 
 
+def _letters(lowered: Column) -> Column:
+    """Letters and digits in one spelling, also of words that a line's end or a hyphen parts."""
+    out = F.replace(lowered, F.lit("http://"), F.lit("https://"))
+    out = F.regexp_replace(out, OTHER, "")
+    for one, other in SPELLINGS:
+        one, other = (re.sub("[^a-z]", "", spelling) for spelling in (one, other))
+        if one not in other:
+            out = F.replace(out, F.lit(one), F.lit(other))
+    return out
+
+
+def body(text: Column) -> Column:
+    return _letters(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), BEFORE_BODY, ""))
+
+
+def plain(text: Column) -> Column:
+    return _letters(F.lower(F.coalesce(text, F.lit(""))))
+
+
+FORMS = (canonical, body, plain)
+
+
 def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
 def known_digests(texts: DataFrame) -> DataFrame:
-    """(digest, license) of known licences (name, text); empty ones are no licence."""
+    """(digest, license) of known licences (name, text) in all forms; empty ones are no licence."""
+    forms = F.explode(F.array(*[form(F.col("text")) for form in FORMS])).alias("form")
     return (
-        texts.where(F.col("name").isNotNull() & (canonical(F.col("text")) != ""))
-        .groupBy(digest(F.col("text")).alias("digest"))
+        texts.where(F.col("name").isNotNull())
+        .select("name", forms)
+        .where(F.col("form") != "")
+        .groupBy(F.sha2("form", 256).alias("digest"))
         .agg(F.min("name").alias("license"))
     )
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """(doc_id, digest, license), one row per row of `docs`; license is null if the text is none of
-    the known ones (digest, license). Whether `known` is broadcast is left to its size."""
-    rows = docs.select("doc_id", digest(F.col("text")).alias("digest"))
-    return rows.join(known, "digest", "left").select("doc_id", "digest", "license")
+    the known ones (digest, license) in any form. Whether `known` is broadcast is left to its size."""
+    rows = docs.select(
+        "doc_id", *[F.sha2(form(F.col("text")), 256).alias(f"_{form.__name__}") for form in FORMS]
+    )
+    for form in FORMS:
+        name = f"_{form.__name__}"
+        found = known.select(F.col("digest").alias(name), F.col("license").alias(f"{name}_license"))
+        rows = rows.join(found, name, "left")
+    license_ = F.coalesce(*[f"_{form.__name__}_license" for form in FORMS])
+    return rows.select("doc_id", F.col("_canonical").alias("digest"), license_.alias("license"))
 
 
 # Short public licences and the usual one-line notices.

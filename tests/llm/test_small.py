@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -290,6 +291,27 @@ def test_licenses(spark):
     assert {r.doc_id: r.license for r in found} == {1: "MIT", 2: None, 3: None}
 
 
+def found_licenses(spark, texts):
+    rows = [(k, text, None) for k, text in enumerate(texts)]
+    known = licenses.known_digests(licenses.built_in(spark))
+    found = {r.doc_id: r.license for r in licenses.scan(table(spark, rows), known).collect()}
+    return [found[k] for k in range(len(rows))]
+
+
+def test_licenses_on_one_line_after_notices_and_at_any_width(spark):
+    mit = " ".join(licenses.TEXTS["MIT"].split())
+    notices = [
+        "Copyright (c) 2020 A. Author.", "Copyright 2019-2021 Foo, Inc. All rights reserved.",
+        "\u00a9 1999 B. Other", "(c) 2001, 2003 C and D.\nCopyright (C) E.", "Copyright <YEAR> <HOLDER>",
+    ]
+    texts = [f"{notice} {mit}" for notice in notices]
+    texts += [textwrap.fill(mit, width) for width in range(40, 121)]
+    texts += [textwrap.fill(f"{notices[0]} {mit}", width) for width in range(60, 101)]
+    assert found_licenses(spark, texts) == ["MIT"] * len(texts)
+    others = ["Copyright (c) 2020 A. Author. All of it.", "copyright holders " + mit, "(c) " * 9000, "Copyright 2020 A\n" * 9000]
+    assert found_licenses(spark, others) == [None] * len(others)
+
+
 def test_segments_are_maximal():
     scores = np.array([1, -5, 4, -3, 5, -6, 3, -1, 2.0, -9])
     assert toxicity.segments(scores) == [(0, 1, 1.0), (2, 5, 6.0), (6, 9, 4.0)]
