@@ -5,8 +5,8 @@ and all but letters and digits dropped. Whole canonical texts are then looked up
 digests of known licences, in hash joins. Everything is built of SQL functions.
 
 Three forms are looked up, the first that is known counts: the canonical one, whose digest is a column
-of the result; the body, without what stands before it (copyright notices, each up to the end of
-its sentence or line, whatever follows); and the plain text with nothing left out. The last two
+of the result; the body, without what stands before it (titles and copyright notices, each up to the
+end of its sentence or line, whatever follows); and the plain text with nothing left out. The last two
 don't depend on how a text is broken into lines, but for a notice that goes over a line's end.
 
 Defined cases: a null or empty text, or one with nothing but copyright notices, has no licence (the
@@ -18,6 +18,7 @@ whole text and is not found.
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,8 +48,16 @@ _NOTICE = (
     rf"[^\n]*?(?:{_STOP}|(?=\n|$|{_START}))"
 )
 _RESERVED = r"all\s+rights\s+reserved\b"
+_TITLE = (
+    r"(?:(?:the\s+)?(?:(?:mit|expat|x11|isc|0bsd|bsd\s+zero[\s-]+clause"
+    r"|(?:(?:new|modified|revised|simplified)\s+)?bsd(?:\s+[23][\s-]+clause)?)\s+licen[sc]e"
+    r"(?:\s*\((?:mit|expat|x11|mit/x11|isc|0bsd)\))?|unlicense)"
+    r"|apache\s+license,?\s+version\s+2\.0(?:,\s+january\s+2004)?(?:\s+https?://www\.apache\.org/licenses/?)?"
+    r"|gnu\s+(?:(?:lesser|library)\s+)?general\s+public\s+license\s+version\s+[0-9.]+,\s+(?:[0-9]+\s+)?[a-z]+\s+[0-9]{4}"
+    r"|mozilla\s+public\s+license,?\s+version\s+[0-9.]+)(?![\p{L}\p{N}])"
+)
 # At most 200 of them, so that the matcher's stack is bounded.
-BEFORE_BODY = rf"\A(?:[^\p{{L}}\p{{N}}(©]++|{_NOTICE}|{_RESERVED}){{0,200}}+"
+BEFORE_BODY = rf"\A(?:[^\p{{L}}\p{{N}}(©]++|{_TITLE}|{_NOTICE}|{_RESERVED}){{0,200}}+"
 
 
 def canonical(text: Column) -> Column:
@@ -137,6 +146,26 @@ SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
 }
 
 
+_END = "END OF TERMS AND CONDITIONS"
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(name, text) of the files in `license_texts`, named by their SPDX identifiers without "only"
+    or "or later". What comes after the terms, and numbers of list items in BSD, may be left out."""
+    out = []
+    for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        name, text = file.stem.split(" (")[0], file.read_text(encoding="utf-8")
+        out.append((name, text))
+        if _END in text:
+            out.append((name, text[: text.index(_END) + len(_END)]))
+            out.append((name, text[: text.index(_END)]))
+        if name.startswith("BSD"):
+            out.append((name, re.sub(r"(?m)^\s*\d\.\s", "", text)))
+    return out
+
+
 def built_in(spark: SparkSession) -> DataFrame:
-    """(name, text) of `TEXTS`; other lists are passed to `known_digests` in the same form."""
-    return spark.createDataFrame(sorted(TEXTS.items()), "name string, text string")
+    """(name, text) of `TEXTS` and `whole_texts`; other lists are passed to `known_digests` in the
+    same form."""
+    rows = sorted(TEXTS.items()) + whole_texts()
+    return spark.createDataFrame(rows, "name string, text string")

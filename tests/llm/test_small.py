@@ -312,6 +312,30 @@ def test_licenses_on_one_line_after_notices_and_at_any_width(spark):
     assert found_licenses(spark, others) == [None] * len(others)
 
 
+def test_licenses_knows_common_whole_texts(spark):
+    names, texts = zip(*licenses.whole_texts(), strict=True)
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Unlicense"} <= set(names)
+    assert found_licenses(spark, texts) == list(names)
+    # Each text on one line, re-wrapped, and spelled otherwise.
+    for change in (lambda t: " ".join(t.split()), lambda t: textwrap.fill(" ".join(t.split()), 63), lambda t: "\ufeff" + t.upper().replace("\n", "\r\n")):
+        assert found_licenses(spark, [change(t) for t in texts]) == list(names)
+    of = dict(reversed(licenses.whole_texts()))
+    notice = "Copyright (c) 2020, A. Author and contributors\nAll rights reserved."
+    mit, isc = licenses.TEXTS["MIT"], of["ISC"]
+    titled = {
+        f"MIT License\n\n{notice}\n\n{mit}": "MIT", f"The MIT License (MIT)\n{mit}": "MIT",
+        f"MIT License Copyright (c) 2020 A. Author. {mit}": "MIT", f"ISC License\n\n{notice}\n{isc}": "ISC",
+        f"BSD 3-Clause License\n\n{notice}\n\n{of['BSD-3-Clause']}": "BSD-3-Clause",
+        f"{notice}\n\n{of['BSD-2-Clause']}": "BSD-2-Clause", "MIT License": None,
+        of["Apache-2.0"].split("licenses/\n", 1)[1]: "Apache-2.0", "Apache License\nVersion 2.0": None,
+        of["GPL-3.0"] + " more": None,
+    }
+    assert found_licenses(spark, list(titled)) == list(titled.values())
+    given = licenses.known_digests(spark.createDataFrame([("Own", "Do as you like.")], "name string, text string"))
+    docs = table(spark, [(1, "Copyright 2021 B. Other. Do as you like!", None)])
+    assert [r.license for r in licenses.scan(docs, given).collect()] == ["Own"]
+
+
 def test_segments_are_maximal():
     scores = np.array([1, -5, 4, -3, 5, -6, 3, -1, 2.0, -9])
     assert toxicity.segments(scores) == [(0, 1, 1.0), (2, 5, 6.0), (6, 9, 4.0)]
