@@ -134,7 +134,8 @@ def brute_codes(rows, parts=8, entries=16, rounds=6):
         error = sum(d for d, _ in found)
         error = error if error < 2**63 else None
         out.append((i, "".join(f"{k:02x}" for _, k in found), error, label))
-        sums[label] = sums.get(label, 0) + (error or 0)
+        known = [e for e in (sums.get(label), error) if e is not None]
+        sums[label] = sum(known) if known else None
     digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
     return sorted((str((i, code, e, sums[label], digest)) for i, code, e, label in out))
 
