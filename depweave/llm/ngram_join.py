@@ -17,6 +17,9 @@ matrix and its transpose holds all overlaps. It is computed in blocks, and only
   most. What is linked is grouped. Then each column whose rows are still in different groups is a block
   of its rows outside the column's largest group times all its rows, cut into cells of bounded size. No
   pair within a group is looked at, so large groups of copies cost no more than their size.
+* Before texts are moved to a cell, its rows' sketches are: how many shingles are in each of about n / 6 bins.
+  The sum over bins of the smaller of two counts is never less than the overlap, so a row whose sketch lets
+  no other of the cell reach the bound below has no link there and isn't moved.
 * In a cell the rows' whole sets are a sparse matrix by columns. A row's overlaps with all others are
   accumulated in one array over its shingles. Pairs are discarded before that by size (the smaller set has
   at least `percent` hundredths of the larger one's size) and after it by the bound on the overlap that
@@ -111,11 +114,51 @@ def first_columns(shingles: np.ndarray, size: np.ndarray, percent: int) -> np.nd
     return shingles[order[:keep]]
 
 
-PRINT = "n long, node binary, columns array<long>"
+def sketch_of(shingles: np.ndarray) -> bytes:
+    """How many of a non-empty set are in each of a power of two of bins, one byte each; neighbouring
+    bins of a longer sketch added up are the bins of a shorter one."""
+    bits = max(5, (len(shingles) // 6).bit_length())
+    while True:
+        count = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        if count.max() < 256:
+            return count.astype(np.uint8).tobytes()
+        bits += 1
+
+
+def _folded(table: np.ndarray, bins: int) -> np.ndarray:
+    """Sketches (rows) cut down to `bins` bins."""
+    return table.reshape(len(table), bins, -1).sum(axis=2, dtype=np.int32)
+
+
+def may_link(sketches: list[bytes], sizes: np.ndarray, others: list[bytes], other_sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each of some rows, and of each of others, whether it may be linked with one of the other side."""
+    one, two = np.zeros(len(sketches), bool), np.zeros(len(others), bool)
+    lengths = np.array([len(x) for x in others])
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        table = np.frombuffer(b"".join(others[k] for k in at), np.uint8).reshape(len(at), -1)
+        at_bins = {}
+        for k, own in enumerate(sketches):
+            n, m = sizes[k], other_sizes[at]
+            near = np.flatnonzero(100 * np.minimum(m, n) >= percent * np.maximum(m, n))
+            if not len(near):
+                continue
+            bins = min(len(own), int(length))
+            if bins not in at_bins:
+                at_bins[bins] = _folded(table, bins)
+            mine = _folded(np.frombuffer(own, np.uint8)[None], bins)
+            most = np.minimum(at_bins[bins][near], mine).sum(axis=1)
+            near = near[most >= overlap_bound(m[near], n, percent)]
+            one[k] |= len(near) > 0
+            two[at[near]] = True
+    return one, two
+
+
+PRINT = "n long, node binary, sketch binary, columns array<long>"
 
 
 def _prints(docs: DataFrame, width: int, percent: int, size: np.ndarray) -> DataFrame:
-    """(doc_id, place, n, node, columns): `node` is the digest of the set, null if empty, and `place` a
+    """(doc_id, place, n, node, sketch, columns): `node` is the digest of the set, null if empty, and `place` a
     hash of the text."""
     shared = Shared(docs.sparkSession, size)
 
@@ -128,10 +171,11 @@ def _prints(docs: DataFrame, width: int, percent: int, size: np.ndarray) -> Data
                 own = shingler.set_of(text)
                 if len(own):
                     node = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                    rows.append((len(own), node, first_columns(own, sizes, percent).view(np.int64)))
+                    first = first_columns(own, sizes, percent).view(np.int64)
+                    rows.append((len(own), node, sketch_of(own), first))
                 else:
-                    rows.append((0, None, None))
-            yield pd.DataFrame(rows, columns=["n", "node", "columns"])
+                    rows.append((0, None, None, None))
+            yield pd.DataFrame(rows, columns=["n", "node", "sketch", "columns"])
 
     place = F.xxhash64("text").alias("place")
     return docs.select("doc_id", place, printed(F.col("text")).alias("p")).select(
@@ -221,6 +265,44 @@ def _cell_links(held: list[dict], shingler: Shingler, percent: int) -> list[tupl
     return links
 
 
+def _promising(cells: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The rows of cells (col, i, j, probe, node, comp) that by their sketches may be linked across the
+    cell; `sketches` is (node, size, sketch)."""
+    names = ("col", "i", "j", "probe", "node", "comp")
+    dealt = (
+        cells.select(*names)
+        .join(sketches, "node")
+        .repartition("col", "i", "j")
+        .sortWithinPartitions("col", "i", "j")
+    )
+
+    def chosen(held: list[tuple]) -> pd.DataFrame:
+        sides = [[r for r in held if r[3] == probe] for probe in (True, False)]
+        found: list[tuple] = []
+        if all(sides):
+            sketches_and_sizes = [x for side in sides for x in ([r[7] for r in side], np.array([r[6] for r in side]))]
+            for side, hit in zip(sides, may_link(*sketches_and_sizes, percent), strict=True):
+                found += [r[:6] for r, yes in zip(side, hit, strict=True) if yes]
+        return pd.DataFrame(found, columns=list(names))
+
+    def filtered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cell, held = None, []
+        for frame in frames:
+            done = []
+            columns = [frame[c] for c in (*names, "size", "sketch")]
+            for row in zip(*columns, strict=True):
+                if row[:3] != cell:
+                    done.append(chosen(held))
+                    cell, held = row[:3], []
+                held.append(row)
+            if done:
+                yield pd.concat(done)
+        yield chosen(held)
+
+    kind = "col long, i int, j int, probe boolean, node binary, comp binary"
+    return dealt.select(*names, "size", "sketch").mapInPandas(filtered, kind)
+
+
 def _product(cells: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) within the cells of (col, i, j, probe, node, comp, text): of rows with `probe` to
     rows without it."""
@@ -329,6 +411,7 @@ def join_groups(
         sets.groupBy("node").agg(
             F.min(F.struct(*first)).alias("least"),
             F.first("n").alias("n"),
+            F.first("sketch").alias("sketch"),
             F.first("columns").alias("columns"),
         ),
     )
@@ -342,11 +425,20 @@ def join_groups(
     near = placed.where(bloom.maybe_in(placed, "place", wanted.select("place"), bits))
     texts = stage("texts", wanted.join(near, "place").groupBy("node").agg(F.first("text").alias("text")))
 
-    stars = _star_cells(_hubs(columns, percent, stage), stage).join(texts, "node")
-    links = stage("links", _product(stars, width, percent))
+    sketches = stage(
+        "sketches",
+        rows.select("node", F.col("n").alias("size"), "sketch").join(
+            columns.select("node").distinct(), "node", "left_semi"
+        ),
+    )
+
+    def product(name: str, cells: DataFrame) -> DataFrame:
+        promising = stage(f"{name}_cells", _promising(cells, sketches, percent))
+        return stage(name, _product(promising.join(texts, "node"), width, percent))
+
+    links = product("links", _star_cells(_hubs(columns, percent, stage), stage))
     groups = stage("groups", components(links, stage))
-    blocks = _block_cells(columns, groups, stage).join(texts, "node")
-    more = stage("more", _product(blocks, width, percent))
+    more = product("more", _block_cells(columns, groups, stage))
     groups = stage("all_groups", components(links.unionByName(more), stage))
 
     least = rows.select("node", "least").join(groups, "node")
