@@ -14,17 +14,24 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, groupby
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import Memo, pieces, stable
+from .text import Memo, stable, stretches
+
+#: Characters of texts whose new matches are encoded together, and ids in a frame.
+GROUP, FRAME = 1 << 20, 1 << 19
+#: Bytes of a match from which on prefixes don't keep their encodings.
+LONG = 200
 
 
 class PrefixTable:
@@ -70,8 +77,11 @@ class ByteBPE:
         self.matches.make_automaton()
         self._splits: dict[int, tuple[int, int] | None] = {}
         self._edges: dict[tuple[int, int], list[tuple[bytes, int, float]]] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self.known = Memo(600_000)
+        self._pairs: dict[int, bool] = {}
+        # Ids of a match, 32 bits each.
+        self.known = Memo(112 << 20)
+        self.packed = {rank: array("i", [rank]).tobytes() for rank in self.tokens}
+        self.decimals = {rank: str(rank) for rank in self.tokens}
 
     def merged(self, data: bytes, down_to: int = 1) -> list[int]:
         """The defining encoding: join the neighbours of lowest rank, leftmost first, until nothing
@@ -134,12 +144,13 @@ class ByteBPE:
     def _follows(self, one: int, token: int) -> bool:
         """Whether `token` can stand after the token `one`, or first if that is -1; kept for pairs
         seen before."""
-        known = self._pairs.get((one, token))
+        pair = one << 32 | token
+        known = self._pairs.get(pair)
         if known is None:
-            if len(self._pairs) > 500_000:
+            if len(self._pairs) > 200_000:
                 self._pairs.clear()
             known = self._is_valid(token) and (one < 0 or self._fit(one, token))
-            self._pairs[one, token] = known
+            self._pairs[pair] = known
         return known
 
     def fill(self, data: bytes, last: list[int]) -> None:
@@ -155,7 +166,7 @@ class ByteBPE:
                 continue
             start = base + at + 1 - size
             one = last[start - 1] if start else -1
-            fits = pairs.get((one, token))
+            fits = pairs.get(one << 32 | token)
             if fits is None:
                 fits = follows(one, token)
             if fits:
@@ -196,25 +207,64 @@ class ByteBPE:
         self.fill(data, last)
         return self.read_off(last)
 
-    def _split(self, text: str) -> list[int]:
-        return [x for match in self.pattern.findall(text) for x in self.encode_piece(match)]
+    def learn(self, matches: list[str]) -> None:
+        """Encodes matches. In the order of their bytes each goes on from the table of the one before,
+        cut back to the prefix that they share: its entries don't depend on what follows. Beside a
+        prefix's last token stands the prefix's whole encoding."""
+        pairs, follows, packed, scan = self._pairs, self._follows, self.packed, self.matches.iter
+        before, last, paths = "", [], []
+        # Bytes as characters of the same numbers have the same order.
+        for data, match in sorted((match.encode().decode("latin-1"), match) for match in matches):
+            if len(data) > LONG:
+                self.known[match] = array("i", self.encode_piece(match)).tobytes()
+                continue
+            place = 0
+            for one, two in zip(before, data, strict=False):
+                if one != two:
+                    break
+                place += 1
+            del last[place:], paths[place:]
+            for at, (token, size) in scan(data):
+                # Places filled before, and shorter tokens at the place filled last.
+                if at < place:
+                    continue
+                start = at + 1 - size
+                one = last[start - 1] if start else -1
+                fits = pairs.get(one << 32 | token)
+                if fits or (fits is None and follows(one, token)):
+                    last.append(token)
+                    paths.append(paths[start - 1] + packed[token] if start else packed[token])
+                    place += 1
+            if len(last) != len(data):
+                raise ValueError("the vocabulary lacks a byte")
+            before = data
+            whole = self.ranks.get(match.encode())
+            self.known[match] = paths[-1] if whole is None else packed[whole]
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(ids for ids, _ in self.encoded(text)))
-
-    def encoded(self, text: str) -> list[tuple[tuple[int, ...], str]]:
-        """The ids piece by piece, and the same as text; each distinct piece is encoded once."""
-        parts = pieces(text)
-        if parts is None:
-            ids = self._split(text)
-            return [(tuple(ids), ",".join(map(str, ids)))]
-        new = self.known.missing(parts)
-        for part in new:
-            ids = self._split(part)
-            self.known[part] = (tuple(ids), ",".join(map(str, ids)))
-        found = [self.known[part] for part in parts]
+        return list(chain.from_iterable(ids.tolist() for _, ids in self.encoded([text])))
+
+    def encoded(self, texts: Iterable[str]) -> Iterator[tuple[int, np.ndarray]]:
+        """(number of the text, ids of a stretch of it): at least one for each text, in order. What is
+        new in about GROUP characters is encoded together, each distinct match once."""
+        held: list[tuple[int, list[str]]] = []
+        size = 0
+        for number, text in enumerate(texts):
+            for stretch in stretches(text):
+                held.append((number, self.pattern.findall(stretch)))
+                size += len(stretch)
+                if size > GROUP:
+                    yield from self._looked_up(held)
+                    held, size = [], 0
+        yield from self._looked_up(held)
+
+    def _looked_up(self, held: list[tuple[int, list[str]]]) -> Iterator[tuple[int, np.ndarray]]:
+        new = self.known.missing(chain.from_iterable(matches for _, matches in held))
+        self.learn(new)
+        for number, matches in held:
+            packed = b"".join(map(self.known.__getitem__, matches))
+            yield number, np.frombuffer(packed, np.int32)
         self.known.forget_long(new)
-        return found
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -261,22 +311,36 @@ RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 def encode_and_decode(docs: DataFrame, name: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256), one row per row of `docs`: the digests of the
     decimal ids joined by commas and of the bytes that the ids decode to. With `with_ids` also `ids`
-    (array of int). A null text is empty; no text is cut.
+    (array of int).
+
+    A null text is empty; no text is cut. A null doc_id stays null, repeated rows have rows of their own, an
+    empty table gives an empty result and columns besides doc_id and text aren't read. Texts are dealt
+    with by stretches, and frames have a bounded number of ids or are one text's.
     """
     kind = RESULT + (", ids array<int>" if with_ids else "")
+    names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
 
     @F.pandas_udf(kind)
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = model(name)
         for batch in batches:
-            rows = []
-            for text in batch:
-                found = bpe.encoded(text)
-                ids = list(chain.from_iterable(x for x, _ in found))
-                listed = ",".join([x for _, x in found if x])
-                digests = [hashlib.sha256(x).hexdigest() for x in (listed.encode(), bpe.decode(ids))]
-                rows.append((len(ids), *digests, *([ids] if with_ids else [])))
-            names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
+            rows, held = [], 0
+            for _, stretch_ids in groupby(bpe.encoded(batch), key=lambda found: found[0]):
+                n, listed, decoded, kept = 0, hashlib.sha256(), hashlib.sha256(), []
+                for _, packed in stretch_ids:
+                    ids = packed.tolist()
+                    text = ",".join(map(bpe.decimals.__getitem__, ids))
+                    listed.update(f",{text}".encode() if n and ids else text.encode())
+                    decoded.update(bpe.decode(ids))
+                    n += len(ids)
+                    if with_ids:
+                        kept.append(packed)
+                whole = [np.concatenate(kept)] if with_ids else []
+                rows.append((n, listed.hexdigest(), decoded.hexdigest(), *whole))
+                held += n * with_ids
+                if held > FRAME:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows, held = [], 0
             yield pd.DataFrame(rows, columns=names)
 
     text = F.coalesce("text", F.lit(""))

@@ -57,7 +57,7 @@ class Hasher:
     def __init__(self, order: int, buckets: int):
         if not 1 <= buckets <= 1 << 16:
             raise ValueError("buckets")
-        self.order, self.buckets, self.known = order, buckets, Memo(300_000, 64)
+        self.order, self.buckets, self.known = order, buckets, Memo(longest=64)
 
     def buckets_of(self, text: str | None) -> tuple[int, np.ndarray]:
         """(words, bucket of each feature)."""

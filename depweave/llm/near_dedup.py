@@ -68,7 +68,7 @@ class Shingler:
     def __init__(self, width: int):
         if not 1 <= width <= len(_FACTORS):
             raise ValueError("width")
-        self.width, self.known = width, Memo(600_000)
+        self.width, self.known = width, Memo(48 << 20)
 
     def set_of(self, text: str | None) -> np.ndarray:
         words = (text or "").encode().lower().split()

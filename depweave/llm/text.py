@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 BLANKS = " \t\n\r"
 _PIECES = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 # Other white space (for Python or for any regex engine): next to it a cut need not be stable.
 _OTHER_BLANK = re.compile("[^\\S \t\n\r]|[᠎​﻿]")
 
+_VISIBLE_THEN_BLANK = re.compile("[^ \t\n\r](?=[ \t\n\r])")
+
 
 def stable(text: str, at: int) -> bool:
     """Whether tokens of the byte-level pattern end at `at` whatever stands before and after.
@@ -44,20 +47,52 @@ def folded(text: str) -> bytes:
 
 
 class Memo(dict):
-    """What is known of pieces seen so far. It is emptied when it is full, so memory is bounded;
-    very long pieces are not kept."""
+    """What is known of pieces seen so far, in about `room` bytes: when half of it is full, what was not
+    wanted since the last time is forgotten. Very long pieces are not kept."""
+
+    #: Of an entry besides its text: the objects and its share of the table.
+    ENTRY = 190
 
-    def __init__(self, entries: int = 400_000, longest: int = 200):
+    def __init__(self, room: int = 32 << 20, longest: int = 200):
         super().__init__()
-        self.entries, self.longest = entries, longest
+        self.room, self.longest, self.spent, self.before = room, longest, 0, {}
 
-    def missing(self, wanted: list[str]) -> list[str]:
-        """The distinct pieces of `wanted` that are not known."""
-        if len(self) > self.entries:
+    def missing(self, wanted: Iterable) -> list:
+        """The distinct pieces of `wanted` that are not known, which the caller then adds. The others
+        can be looked up until the next call."""
+        if self.spent > self.room // 2:
+            self.before = dict(self)
             self.clear()
-        return [piece for piece in dict.fromkeys(wanted) if piece not in self]
-
-    def forget_long(self, found: list[str]) -> None:
+            self.spent = 0
+        absent = [piece for piece in dict.fromkeys(wanted) if piece not in self]
+        self.spent += self.ENTRY * len(absent) + sum(map(len, absent))
+        if not self.before:
+            return absent
+        new = []
+        for piece in absent:
+            found = self.before.get(piece)
+            if found is None:
+                new.append(piece)
+            else:
+                self[piece] = found
+        return new
+
+    def forget_long(self, found: list) -> None:
         for piece in found:
-            if len(piece) > self.longest:
-                self.pop(piece, None)
+            if len(piece) > self.longest and self.pop(piece, None) is not None:
+                self.spent -= self.ENTRY + len(piece)
+
+
+def stretches(text: str, about: int = 1 << 18) -> list[str]:
+    """`text` cut at stable places into stretches of about `about` characters; a stretch is longer
+    where there is no stable place, and the text is whole if it has unusual white space."""
+    if len(text) <= about or _OTHER_BLANK.search(text):
+        return [text]
+    found, start = [], 0
+    while len(text) - start > about:
+        place = _VISIBLE_THEN_BLANK.search(text, start + about)
+        if place is None:
+            break
+        found.append(text[start : place.end()])
+        start = place.end()
+    return [*found, text[start:]]

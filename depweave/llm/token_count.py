@@ -89,7 +89,7 @@ def spliced(model: Tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVER
 class Counter:
     def __init__(self, name: str, chunk: int = CHUNK, overlap: int = OVERLAP):
         self.model, self.chunk, self.overlap = tokenizer(name), chunk, overlap
-        self.known = Memo(1_000_000)
+        self.known = Memo(64 << 20)
 
     def count(self, text: str) -> int:
         if len(text) > 2 * self.chunk:

@@ -99,7 +99,7 @@ class Scorer:
     """A model and the scores of the words it has seen."""
 
     def __init__(self, model: Model):
-        self.model, self.known = model, Memo(600_000)
+        self.model, self.known = model, Memo(48 << 20)
 
     def scores(self, text: str | None) -> np.ndarray:
         words = words_of(text)
