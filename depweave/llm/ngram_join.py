@@ -130,17 +130,21 @@ def _folded(table: np.ndarray, bins: int) -> np.ndarray:
     return table.reshape(len(table), bins, -1).sum(axis=2, dtype=np.int32)
 
 
-def may_link(sketches: list[bytes], sizes: np.ndarray, others: list[bytes], other_sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each of some rows, and of each of others, whether it may be linked with one of the other side."""
-    one, two = np.zeros(len(sketches), bool), np.zeros(len(others), bool)
-    lengths = np.array([len(x) for x in others])
+def may_link(probes: list[tuple], others: list[tuple], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each of some rows (group, size, sketch), and of each of others, whether it may be linked with
+    one of another group on the other side."""
+    one, two = np.zeros(len(probes), bool), np.zeros(len(others), bool)
+    number: dict[bytes, int] = {}
+    groups = np.array([number.setdefault(r[0], len(number)) for r in others])
+    sizes = np.array([r[1] for r in others])
+    lengths = np.array([len(r[2]) for r in others])
     for length in np.unique(lengths):
         at = np.flatnonzero(lengths == length)
-        table = np.frombuffer(b"".join(others[k] for k in at), np.uint8).reshape(len(at), -1)
-        at_bins = {}
-        for k, own in enumerate(sketches):
-            n, m = sizes[k], other_sizes[at]
-            near = np.flatnonzero(100 * np.minimum(m, n) >= percent * np.maximum(m, n))
+        table = np.frombuffer(b"".join(others[k][2] for k in at), np.uint8).reshape(len(at), -1)
+        m, at_bins = sizes[at], {}
+        for k, (group, n, own) in enumerate(probes):
+            near = 100 * np.minimum(m, n) >= percent * np.maximum(m, n)
+            near = np.flatnonzero(near & (groups[at] != number.get(group, -1)))
             if not len(near):
                 continue
             bins = min(len(own), int(length))
@@ -267,7 +271,7 @@ def _cell_links(held: list[dict], shingler: Shingler, percent: int) -> list[tupl
 
 def _promising(cells: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The rows of cells (col, i, j, probe, node, comp) that by their sketches may be linked across the
-    cell; `sketches` is (node, size, sketch)."""
+    cell with another group; `sketches` is (node, size, sketch)."""
     names = ("col", "i", "j", "probe", "node", "comp")
     dealt = (
         cells.select(*names)
@@ -280,8 +284,8 @@ def _promising(cells: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
         sides = [[r for r in held if r[3] == probe] for probe in (True, False)]
         found: list[tuple] = []
         if all(sides):
-            sketches_and_sizes = [x for side in sides for x in ([r[7] for r in side], np.array([r[6] for r in side]))]
-            for side, hit in zip(sides, may_link(*sketches_and_sizes, percent), strict=True):
+            rows = [[(r[5], r[6], r[7]) for r in side] for side in sides]
+            for side, hit in zip(sides, may_link(*rows, percent), strict=True):
                 found += [r[:6] for r, yes in zip(side, hit, strict=True) if yes]
         return pd.DataFrame(found, columns=list(names))
 
@@ -311,15 +315,18 @@ def _product(cells: DataFrame, width: int, percent: int) -> DataFrame:
     def multiplied(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted by cell; one cell is held at a time."""
         shingler = Shingler(width)
-        cell, held = None, []
+        cell, held, seen = None, [], set()
         for frame in frames:
             links = []
             columns = [frame[c] for c in ("col", "i", "j", "probe", "node", "comp", "text")]
             for col, i, j, probe, node, comp, text in zip(*columns, strict=True):
                 if (col, i, j) != cell:
                     links += _cell_links(held, shingler, percent)
-                    cell, held = (col, i, j), []
-                held.append({"probe": probe, "node": node, "comp": comp, "text": text})
+                    cell, held, seen = (col, i, j), [], set()
+                # Repeated rows of one document have brought the text more than once.
+                if (probe, node) not in seen:
+                    seen.add((probe, node))
+                    held.append({"probe": probe, "node": node, "comp": comp, "text": text})
             yield pd.DataFrame(links, columns=["a", "b"])
         yield pd.DataFrame(_cell_links(held, shingler, percent), columns=["a", "b"])
 
@@ -416,15 +423,6 @@ def join_groups(
         ),
     )
     columns = _columns(rows.select("node", "n", "columns"), stage, bits)
-    wanted = stage(
-        "wanted",
-        rows.select("node", "least.place").join(columns.select("node").distinct(), "node", "left_semi"),
-    )
-    # A text is moved only if its place may be wanted.
-    placed = docs.select("text", F.xxhash64("text").alias("place"))
-    near = placed.where(bloom.maybe_in(placed, "place", wanted.select("place"), bits))
-    texts = stage("texts", wanted.join(near, "place").groupBy("node").agg(F.first("text").alias("text")))
-
     sketches = stage(
         "sketches",
         rows.select("node", F.col("n").alias("size"), "sketch").join(
@@ -432,9 +430,20 @@ def join_groups(
         ),
     )
 
+    where = rows.select("node", "least.place", F.col("least.doc_id").alias("id"))
+
     def product(name: str, cells: DataFrame) -> DataFrame:
+        """Only texts of rows that the sketches leave are moved; of copies that of the first document,
+        and a text whose place isn't wanted isn't shuffled."""
         promising = stage(f"{name}_cells", _promising(cells, sketches, percent))
-        return stage(name, _product(promising.join(texts, "node"), width, percent))
+        wanted = stage(
+            f"{name}_wanted", where.join(promising.select("node").distinct(), "node", "left_semi")
+        )
+        placed = docs.select("text", F.col("doc_id").alias("own"), F.xxhash64("text").alias("place"))
+        near = placed.where(bloom.maybe_in(placed, "place", wanted.select("place"), bits))
+        texts = near.join(wanted, "place").where(F.col("own").eqNullSafe(F.col("id")))
+        whole = promising.join(texts.select("node", "text"), "node")
+        return stage(name, _product(whole, width, percent))
 
     links = product("links", _star_cells(_hubs(columns, percent, stage), stage))
     groups = stage("groups", components(links, stage))
