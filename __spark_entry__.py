@@ -80,6 +80,14 @@ class _Inputs:
     def known(self) -> DataFrame:
         return self.stage("known", resolve.known_deps_of(self.resolved()))
 
+    def published(self, name: str, table: DataFrame) -> DataFrame:
+        """The result table `name`, written, published and read by another reader."""
+        folder = f"{self.stages.path}/results"
+        results = Results(self.spark, folder, "python")
+        results.write(name, table)
+        results.publish()
+        return Results(self.spark, folder, "python").read(name)
+
     def go_deps(self) -> DataFrame:
         return extract.go_deps(self.tables.go_contents)
 
@@ -234,14 +242,15 @@ def go_top_flowers(x: _Inputs) -> DataFrame:
 def flower_lookup(x: _Inputs) -> DataFrame:
     """The flowers of the suppliers' repositories that have one."""
     g = x.py_graph()
+    table = x.published("flowers", flowers.flowers(g.petals, g.degrees))
     roots = x.tables.rivals.select(full_name().alias("root"))
-    return flowers.flower_links(lookup.flower_of(flowers.flowers(g.petals, g.degrees), roots))
+    return flowers.flower_links(lookup.flower_of(table, roots))
 
 
 def cooccur_lookup(x: _Inputs) -> DataFrame:
     """The partners of the names of the suppliers' repositories."""
-    partners = cooccur.top_partners(x.known(), B, stage=x.stage)
-    found = lookup.cooccurs_of(partners, x.tables.rivals.select("repo_name"))
+    table = x.published("cooccurs", cooccur.top_partners(x.known(), B, stage=x.stage))
+    found = lookup.cooccurs_of(table, x.tables.rivals.select("repo_name"))
     return found.select("dep1", "dep2", "cnt")
 
 
@@ -309,7 +318,8 @@ def python_job(x: _Inputs) -> DataFrame:
     batch.python_batch(
         contents, files, results.read("repos"), x.stage, results.write, K, N, B, stopwords=stop
     )
-    return _rows_of(results)
+    results.publish()
+    return _rows_of(Results(x.spark, f"{folder}/out", "python"))
 
 
 def go_job(x: _Inputs) -> DataFrame:
@@ -322,7 +332,9 @@ def go_job(x: _Inputs) -> DataFrame:
     for _ in range(2):
         results.write("repos", resolve.go_repo_dimension(read_repos(x.spark, f"{folder}/repos", "go")))
         batch.go_batch(contents, files, x.stage, results.write, K, N)
-    return _rows_of(results)
+        results.publish()
+        results.prune()
+    return _rows_of(Results(x.spark, f"{folder}/out", "go"))
 
 
 def result_counts(x: _Inputs) -> DataFrame:

@@ -62,8 +62,10 @@ def index(spark: SparkSession, args: argparse.Namespace) -> None:
         dim = resolve.repo_dimension(repos, stopwords)
     else:
         dim = resolve.go_repo_dimension(repos)
-    written = Results(spark, args.out, args.lang).write("repos", dim)
+    results = Results(spark, args.out, args.lang)
+    written = results.write("repos", dim)
     print(f"repositories: {written.count()}")
+    results.publish()
 
 
 def batch(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -97,8 +99,9 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
                 keep_orphans=args.keep_orphans,
                 drop_self=args.drop_self,
             )
+        # All results are written, and become visible together.
+        results.publish()
     finally:
-        # All results are written, or the job has failed.
         stages.remove()
 
 
@@ -106,7 +109,7 @@ def refresh(spark: SparkSession, args: argparse.Namespace) -> None:
     results = Results(spark, args.out, args.lang)
     pairs = results.read("top_cooccurs") if args.lang == "python" else None
     for name, document in site_documents(results.read("top_flowers"), pairs).items():
-        write_document(document, f"{args.site}/{args.lang}_{name}")
+        write_document(document, f"{args.site}/{args.lang}_{name}.json")
 
 
 def show(document: list) -> None:

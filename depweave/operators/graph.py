@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import path_tokens
+from .known_names import NameFilter
 
 
 def join_files(files: DataFrame, imports: DataFrame) -> DataFrame:
@@ -34,6 +35,7 @@ def external_deps(
     imports: DataFrame,
     suffix_len: int = 2,
     unresolvable: DataFrame | None = None,
+    known: NameFilter | None = None,
 ) -> DataFrame:
     """(repo, dep): imported names that are not also a folder or file name of the same repository.
 
@@ -41,7 +43,8 @@ def external_deps(
     anti join: the join with the files is read once and shuffled once, and the partial aggregate
     collapses the copies of a folder name before the shuffle. Path tokens with a dot or a space are
     dropped first, since an imported name holds neither; with the default suffix length these are
-    all the file names.
+    all the file names. With `known`, names that it can't hold are dropped before the shuffle too, and
+    the result has only names that may be known.
     """
 
     def tag(tokens: Column, imported: bool) -> Column:
@@ -60,6 +63,8 @@ def external_deps(
     if unresolvable is not None:
         useless = unresolvable.select(F.col("name").alias("token"), F.lit(True).alias("imported"))
         tokens = tokens.join(useless, ["token", "imported"], "left_anti")
+    if known is not None:
+        tokens = known.maybe_known(tokens, "token")
     return (
         tokens.groupBy("repo", "token")
         .agg(F.bool_and("imported").alias("external"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import cooccur, extract, flowers, graph, resolve
+from ..operators.known_names import NameFilter
 
 Write = Callable[[str, DataFrame], DataFrame]
 
@@ -51,11 +52,14 @@ def python_resolved(
     """(repo, dep, dst): outside dependencies that name a repository of `dim`.
 
     `stopwords` are names that `dim` is known to have none of; given here too, they are dropped
-    early. The result is the same without them. The table of best repositories is staged so that its size is known before the join.
+    early. The result is the same without them. The table of best repositories is staged so that its size
+    is known before the join, and a filter of its names keeps names that nothing is called out of the
+    shuffle by repository.
     """
     best = stage("best_repo", resolve.best_repo(dim))
     imports = extract.python_imports(contents, strip_cr)
-    deps = graph.external_deps(files, imports, suffix_len, unresolvable=stopwords)
+    known = NameFilter(best.select("dep"), stage)
+    deps = graph.external_deps(files, imports, suffix_len, unresolvable=stopwords, known=known)
     return resolve.resolve(deps, best)
 
 

@@ -1,5 +1,5 @@
-"""Result tables and documents."""
+"""Destinations of results."""
 
-from .results import Results, write_document
+from .results import KEYS, Results, by_language, replace_file, write_document
 
-__all__ = ["Results", "write_document"]
+__all__ = ["KEYS", "Results", "by_language", "replace_file", "write_document"]

@@ -11,7 +11,7 @@ from __spark_entry__ import _Inputs
 from depweave import cli
 from depweave.operators import flowers, graph, resolve
 from depweave.schemas import CONTENTS, FILES
-from depweave.sinks import Results
+from depweave.sinks import Results, by_language
 from depweave.sources import (
     read_contents,
     read_files,
@@ -153,17 +153,16 @@ def test_whole_job(spark, folder, tmp_path, capsys, monkeypatch):
     assert counts == {"K": 5, "B": 20}
     assert {row["name"] for row in Results(spark, out, "go").read("counts").collect()} == {"K"}
     assert results.read("top_cooccurs").count() == 20
-    assert spark.read.parquet(f"{out}/neighbors").columns == ["dst", "src", "lang"]
+    assert by_language(spark, out, "neighbors").columns == ["dst", "src", "lang"]
 
     def document(name):
-        files = list(Path(site, name).glob("part-*"))
-        return json.loads("".join(file.read_text() for file in files))
+        return json.loads(Path(site, f"{name}.json").read_text())
 
     graphs = document("python_top_K")
     merged = flowers.merged_nodes(results.read("top_flowers"))
     assert len(graphs["nodes"]) == merged.count()
     assert len(document("python_top_B")["cooccurs"]) == 20
-    assert document("go_top_K")["links"] and not Path(site, "go_top_B").exists()
+    assert document("go_top_K")["links"] and not Path(site, "go_top_B.json").exists()
 
     capsys.readouterr()
     run("flower", "--lang", "python", "--out", out, found[0]["root"])
