@@ -33,17 +33,18 @@ def _contracted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([r for r in rows if r[0] != r[1]], columns=["a", "b"])
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, stage: Stage) -> DataFrame:
     """Joins the larger neighbours of each node to its least neighbour, or to the node itself."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("low", "a").alias("low"))
+    least = both.groupBy("a").agg(F.min("b").alias("low"))
+    low = stage("low", least.select("a", F.least("low", "a").alias("low")))
     larger = both.join(low, "a").where(F.col("b") > F.col("a"))
     return larger.select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, stage: Stage) -> DataFrame:
     """Joins the smaller neighbours of each node, and the node, to the least of them."""
-    low = edges.groupBy("a").agg(F.min("b").alias("low"))
+    low = stage("low", edges.groupBy("a").agg(F.min("b").alias("low")))
     joined = edges.join(low, "a").select(F.inline(F.array(
         F.struct(F.col("a").alias("a"), F.col("low").alias("b")),
         F.struct(F.col("b").alias("a"), F.col("low").alias("b")),
@@ -69,7 +70,7 @@ def components(edges: DataFrame, stage: Stage) -> DataFrame:
         if state == before:
             break
         before = state
-        now = stage("stars", _small_star(_large_star(now)))
+        now = stage("stars", _small_star(stage("large", _large_star(now, stage)), stage))
     children = now.select(F.col("a").alias("node"), F.col("b").alias("comp"))
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
     return children.unionByName(roots)

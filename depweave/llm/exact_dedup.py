@@ -73,7 +73,7 @@ def decisions(docs: DataFrame, stage: Stage, bits: int = bloom.BITS) -> DataFram
 
 def keep_one(docs: DataFrame, bits: int = bloom.BITS) -> DataFrame:
     """The rows of `docs` that stay, with all their columns; of rows alike in text length and doc_id
-    the greatest by the other columns, in their order.
+    the greatest by the other columns, in their order (as JSON text, where maps have no order).
 
     Rows that the filter clears are not shuffled. The others meet in one aggregation that keeps the
     best whole row of each group and combines before the shuffle.
@@ -87,8 +87,8 @@ def keep_one(docs: DataFrame, bits: int = bloom.BITS) -> DataFrame:
     order = F.struct(
         F.char_length(F.coalesce("row.text", F.lit(""))).alias("n"),
         F.bitwise_not("row.doc_id").alias("d"),
-        "row",
+        F.to_json("row").alias("tie") if "map<" in docs.schema.simpleString() else F.col("row"),
     )
-    best = marked.where("maybe").groupBy("sha").agg(F.max(order).alias("best")).select("best.row")
+    best = marked.where("maybe").groupBy("sha").agg(F.max_by("row", order).alias("row")).select("row")
     rows = marked.where(~F.col("maybe")).select("row").unionByName(best)
     return rows.select("row.*")

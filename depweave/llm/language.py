@@ -123,20 +123,23 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from rows (doc_id, text, lang): at most `sample` of each language, so the driver
     holds `sample` vectors of 2**BITS numbers per language.
 
-    Rows that can't be in the sample are left out by their hash before texts move: of n rows of a
-    language about twice the sample stay.
+    Rows that can't be in the sample are left out by their hash before texts move: of n different rows
+    (doc_id, text) of a language about twice the sample stay, however many have the same doc_id, and
+    repeated rows stay or go together, so no language is lost.
     """
     rows = labelled.where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
     ).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     # A row per language.
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
+    different = rows.groupBy("lang").agg(F.approx_count_distinct("key").alias("n"))
+    sizes = {r["lang"]: r["n"] for r in different.collect()}
     if not sizes:
         return Model(np.zeros((0, 1 << BITS)), np.array([], dtype=object))
     pairs = [F.lit(v) for lang, n in sizes.items() for v in (lang, max(1, n // (2 * sample)))]
     share = F.element_at(F.create_map(*pairs), F.col("lang"))
-    near = rows.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), share) == 0)
-    chosen = first_of_each(near.withColumn("key", F.xxhash64("doc_id", "text")), "lang", "key", sample)
+    near = rows.where(F.pmod(F.xxhash64("key"), share) == 0)
+    chosen = first_of_each(near, "lang", "key", sample)
 
     def vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

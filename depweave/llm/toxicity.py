@@ -216,7 +216,9 @@ def _evidence(sample: DataFrame, model: Model) -> pd.DataFrame:
             yield pd.DataFrame(rows, columns=["toxic", "n", "best", "x"])
 
     kind = "toxic int, n long, best double, x double"
-    return sample.select("toxic", "text").mapInPandas(measured, kind).toPandas()
+    seen = sample.select("toxic", "text").mapInPandas(measured, kind).toPandas()
+    # Sums of doubles depend on the order.
+    return seen.sort_values(["toxic", "n", "best", "x"], ignore_index=True)
 
 
 def fit(docs: DataFrame, labels: DataFrame, stage: Stage, sample: int = SAMPLE) -> Model | None:
@@ -230,7 +232,12 @@ def fit(docs: DataFrame, labels: DataFrame, stage: Stage, sample: int = SAMPLE)
     chosen = F.broadcast(first_of_each(known, "toxic", "doc_id", sample))
     learned = stage(
         "learned",
-        docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["doc_id"]),
+        # Of different texts of one doc_id that with the smallest hash, so a fit can be repeated.
+        docs.select("doc_id", "text")
+        .join(chosen, "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "toxic")).alias("least"))
+        .select("doc_id", "least.text", "least.toxic"),
     )
     every = token_counts(docs)
     toxic, clean = (token_counts(learned.where(F.col("toxic") == k)) for k in (1, 0))
