@@ -5,14 +5,19 @@ doc_id, or earlier in the same one. Strings are judged on the input and never cr
 
 * Of equal texts only the first is looked into; all of the others is repeated.
 * Each string belongs to an anchor, the 40-byte gram of least hash in it, so equal strings have equal
-  anchors. The strings of an anchor's place lie in one stretch of text. A Bloom filter over all
-  anchors finds those that may occur again; only their stretches move.
-* Of equal stretches, all but the first are repeated throughout. Different ones of an anchor are put into
-  blocks, and a block's suffix array with adjacent common prefixes gives its repeated strings.
+  anchors. The strings of an anchor's place lie in one stretch of text. A stretch whose strings all
+  start again one period later (a run of one character, say) is repeated throughout and goes no
+  further. A Bloom filter over the anchors of the others finds those that may occur again; the digests
+  of their stretches are grouped, without the bytes.
+* Of equal stretches, all but the first are repeated throughout. Texts meet the list of their first
+  stretches, so a stretch that is shared and not in the list is such a copy. Bytes move once, and only
+  those of first stretches whose anchor has several different ones: these are put into blocks, and a
+  block's suffix array with adjacent common prefixes gives its repeated strings.
 * An anchor with more stretches than a block holds is spread over several blocks; strings that are
   first in theirs then meet by digest.
 
-Defined cases: a null text is empty; texts shorter than LENGTH keep all. A null doc_id comes last.
+Defined cases: a null text is empty; texts shorter than LENGTH keep all; an empty table gives an empty
+one. A null doc_id comes last.
 Rows with the same doc_id and text have equal results; different texts of one doc_id go by their
 digest. Columns other than doc_id and text are not read.
 """
@@ -24,6 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,8 +59,12 @@ def _powers(base: int, n: int) -> np.ndarray:
 _UP, _DOWN = _powers(_BASE, _PIECE), _powers(_INVERSE, _PIECE)
 
 
-def _anchored(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a piece of up to 2**20 bytes: hash of the anchor, first and last start of each stretch."""
+Stretch = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _anchored(raw: np.ndarray) -> Stretch:
+    """Of a piece of up to 2**20 bytes: hash of the anchor, first and last start of each stretch, and
+    whether all its strings start earlier in the piece too, one period before."""
     n, grams, width = len(raw), len(raw) - GRAM + 1, LENGTH - GRAM + 1
     total = np.concatenate([np.zeros(1, _U), np.cumsum((raw.astype(_U) + _U(1)) * _UP[:n], dtype=_U)])
     h = (total[GRAM:] - total[:grams]) * _DOWN[:grams]
@@ -68,25 +78,39 @@ def _anchored(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if rest:
         least = np.minimum(least[:-rest], least[rest:])
     at = (least & _PLACE).astype(np.int64)
-    starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    return h[at[starts]].view(np.int64), starts, np.append(starts[1:] - 1, len(at) - 1)
-
-
-def stretches(raw: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(hashes, first starts, last starts) over a text of any length; pieces overlap so that each
-    string is in one."""
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    last, anchors = np.append(first[1:] - 1, len(at) - 1), at[first]
+    return h[anchors].view(np.int64), first, last, _periodic(raw, h[anchors], anchors, first, last)
+
+
+def _periodic(raw: np.ndarray, hashes: np.ndarray, anchors: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """In a run of period p neighbouring stretches have equal anchors, p apart; the bytes tell. Such a
+    stretch is no string's first place, so leaving it out of all comparisons loses nothing."""
+    own = np.zeros(len(first), bool)
+    like = np.flatnonzero(hashes[1:] == hashes[:-1]) + 1
+    periods = anchors[like] - anchors[like - 1]
+    for p in np.unique(periods):
+        which = like[(periods == p) & (first[like] >= p)]
+        differ = np.append(0, np.cumsum(raw[p:] != raw[:-p]))
+        own[which] = differ[last[which] + LENGTH - p] == differ[first[which] - p]
+    return own
+
+
+def stretches(raw: bytes) -> Iterator[Stretch]:
+    """(hashes, first starts, last starts, periodic) over a text of any length; pieces overlap so that
+    each string is in one."""
     data = np.frombuffer(raw, np.uint8)
     step = _PIECE - LENGTH + 1
     for k in range(0, max(len(data) - LENGTH + 1, 0), step):
-        hashes, first, last = _anchored(data[k : k + _PIECE])
-        yield hashes, first + k, last + k
+        hashes, first, last, own = _anchored(data[k : k + _PIECE])
+        yield hashes, first + k, last + k, own
 
 
 def _anchors(frame: pd.DataFrame) -> Iterator[np.ndarray]:
-    """The hashes of all anchors of the texts, of some hundred texts at a time."""
+    """The hashes of the anchors of the texts, of some hundred texts at a time."""
     held: list[np.ndarray] = []
     for text in frame["text"]:
-        held += [hashes for hashes, _, _ in stretches(text.encode())]
+        held += [hashes[~own] for hashes, _, _, own in stretches(text.encode())]
         if len(held) >= 500:
             yield np.concatenate(held)
             held = []
@@ -186,57 +210,98 @@ def _cut(text: str, spans: list) -> tuple[int, int, str]:
     return removed, count, kept.hexdigest()
 
 
+_CODE = 31  # Bits below a start: 0 for a stretch that stays, or 1 + the part of its anchor's blocks.
+MOVED = "anchor long, part int, no boolean, doc_id long, tie long, start long, end long, bytes binary"
+
+
+def _runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First and last index of each run of true values."""
+    edges = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
+    return zip(np.flatnonzero(edges == 1).tolist(), (np.flatnonzero(edges == -1) - 1).tolist(), strict=True)
+
+
 def repeated(bodies: DataFrame, stage: Stage, bits: int = BITS) -> DataFrame:
     """(no, doc_id, tie, start, end): repeated runs of bytes of `bodies` (no, doc_id, tie, text), which
     are different texts. Runs may overlap."""
     again = bloom.repeats(bodies.select("text"), _anchors, bits)
     shared = bloom.Filter(bodies.sparkSession, again, bits)
 
-    def moved(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, rows = ["anchor", *KEY, "start", "bytes"], []
+    def digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []
+        count = 0
         for frame in frames:
             for no, doc_id, tie, text in zip(*[frame[c] for c in [*KEY, "text"]], strict=True):
                 raw = text.encode()
-                for own, first, last in stretches(raw):
-                    hit = shared.test(own)
+                for hashes, first, last, own in stretches(raw):
+                    hit = np.flatnonzero(shared.test(hashes) & ~own)
                     ends = (last[hit] + LENGTH).tolist()
-                    for h, a, b in zip(own[hit].tolist(), first[hit].tolist(), ends, strict=True):
-                        rows.append((h, no, doc_id, tie, a, raw[a:b]))
-                if len(rows) >= 10_000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
-        yield pd.DataFrame(rows, columns=names)
+                    contents = [
+                        xxhash.xxh3_64_intdigest(raw[a:b])
+                        for a, b in zip(first[hit].tolist(), ends, strict=True)
+                    ]
+                    held.append((hashes[hit], np.array(contents, _U).view(np.int64), first[hit], (no, doc_id, tie)))
+                    count += len(hit)
+                    if count >= 20_000:
+                        yield table(held)
+                        held, count = [], 0
+        if held:
+            yield table(held)
+
+    def table(held: list[tuple]) -> pd.DataFrame:
+        sizes = [len(h[0]) for h in held]
+        out = {name: np.concatenate([h[k] for h in held]) for k, name in enumerate(["anchor", "content", "start"])}
+        out |= {name: np.repeat(np.array([h[3][k] for h in held]), sizes) for k, name in enumerate(KEY)}
+        return pd.DataFrame(out)[["anchor", "content", *KEY, "start"]]
 
-    kind = "anchor long, no boolean, doc_id long, tie long, start long, bytes binary"
-    parts = stage("stretches", bodies.mapInPandas(moved, kind)).withColumn(
-        "content", F.xxhash64("bytes")
-    )
     place = F.struct(*KEY, "start")
+    parts = bodies.mapInPandas(digests, "anchor long, content long, no boolean, doc_id long, tie long, start long")
     contents = stage(
-        "contents",
-        parts.groupBy("anchor", "content").agg(
-            F.min(place).alias("first"),
-            F.count(F.lit(1)).alias("k"),
-            F.first("bytes").alias("bytes"),
-        ),
-    )
-    # Later copies of a stretch.
-    copies = (
-        parts.select("anchor", "content", *KEY, "start", F.octet_length("bytes").alias("n"))
-        .join(contents.where(F.col("k") > 1).select("anchor", "content", "first"), ["anchor", "content"])
-        .where(place != F.col("first"))
-        .select(*KEY, "start", (F.col("start") + F.col("n")).alias("end"))
+        "contents", parts.groupBy("anchor", "content").agg(F.min(place).alias("first")).select("anchor", "content", "first.*")
     )
     several = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1)
     several = stage(
         "several", several.select("anchor", F.ceil(F.col("k") / STRETCHES).cast("int").alias("parts"))
     )
-    placed = contents.join(several, "anchor").select(
-        "anchor",
-        F.pmod("content", "parts").cast("int").alias("part"),
-        (F.col("parts") > 1).alias("split"),
-        "first.*",
-        "bytes",
+    # Only stretches whose anchor has several go to the join.
+    kept = contents.withColumn("maybe", bloom.maybe_in(contents, "anchor", several.select("anchor"), bits))
+    code = F.when(
+        F.col("parts").isNotNull(), F.lit(1) + F.pmod("content", "parts").cast("long")
+    ).otherwise(F.lit(0))
+    entry = (F.shiftleft("start", _CODE) + code.cast("long")).alias("entry")
+    listed = kept.where(~F.col("maybe")).select(*KEY, F.shiftleft("start", _CODE).alias("entry")).unionByName(
+        kept.where("maybe").join(several, "anchor", "left").select(*KEY, entry)
+    )
+    lists = listed.groupBy(*KEY).agg(F.collect_list("entry").alias("entries"))
+
+    def moved(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, rows = [part.split()[0] for part in MOVED.split(", ")], []
+        for frame in frames:
+            for no, doc_id, tie, text, entries in zip(*[frame[c] for c in [*KEY, "text", "entries"]], strict=True):
+                raw, key = text.encode(), (no, doc_id, tie)
+                known = np.sort(np.asarray([] if entries is None else entries, np.int64))
+                places, codes = known >> _CODE, known & ((1 << _CODE) - 1)
+                for hashes, first, last, own in stretches(raw):
+                    at = np.searchsorted(places, first)
+                    heads = np.zeros(len(first), bool)
+                    inside = at < len(places)
+                    heads[inside] = places[at[inside]] == first[inside]
+                    for a, b in _runs((shared.test(hashes) & ~heads) | own):
+                        rows.append((0, 0, *key, int(first[a]), int(last[b]) + LENGTH, None))
+                    for k in np.flatnonzero(heads):
+                        if part := int(codes[at[k]]):
+                            a, b = int(first[k]), int(last[k]) + LENGTH
+                            rows.append((int(hashes[k]), part - 1, *key, a, b, raw[a:b]))
+                    if len(rows) >= 10_000:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows = []
+        yield pd.DataFrame(rows, columns=names)
+
+    met = bodies.join(lists, KEY, "left").select(*KEY, "text", "entries")
+    pieces = stage("pieces", met.mapInPandas(moved, MOVED))
+    copies = pieces.where(F.col("bytes").isNull())
+    split = several.where(F.col("parts") > 1).select("anchor", F.lit(True).alias("split"))
+    placed = pieces.where(F.col("bytes").isNotNull()).join(split, "anchor", "left").select(
+        "anchor", "part", F.coalesce("split", F.lit(False)).alias("split"), *KEY, "start", "bytes"
     )
     sorted_ = placed.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
     found = stage("found", sorted_.mapInPandas(_blocks, FOUND))
@@ -284,9 +349,10 @@ def decisions(docs: DataFrame, stage: Stage, bits: int = BITS) -> DataFrame:
         "results",
         near.join(spans, KEY).select("sha", cut("text", "spans").alias("c")).select("sha", "c.*"),
     )
-    heads = bodies.select("sha", F.struct("no", "doc_id").alias("head"))
+    heads = bodies.select("sha", F.struct("no", "doc_id").alias("head")).join(results, "sha", "left")
+    # One join on written tables, so that adaptive execution can split many equal texts.
     digests = stage("digests", rows.select("no", "doc_id", "n_bytes", "sha"))
-    own = digests.join(heads, "sha", "left").join(results, "sha", "left")
+    own = digests.join(stage("heads", heads), "sha", "left")
     later = F.col("head").isNotNull() & (F.struct("no", "doc_id") != F.col("head"))
     zero = F.lit(0).cast("long")
     return own.select(

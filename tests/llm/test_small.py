@@ -180,6 +180,12 @@ def test_substring_dedup(spark, monkeypatch, stretches):
     rng, a = random.Random(2), prose(7, 80)
     rows = [(k, prose(50 + k, 30) + " " + a[rng.randrange(200) : rng.randrange(200, 400)] + "é" * (k % 3) + prose(90 + k % 4, 40), "en") for k in range(40)]
     rows += [(100, a, "en"), (101, a, "en"), (102, "z" * 500, "en"), (103, "z" * 99, "en"), (104, None, "en")]
+    got = substring_dedup.decisions(table(spark, rows), Stages(spark).write, 1 << 18).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == removed(rows)
+
+
+def removed(rows):
+    """The results of substring_dedup by sets of strings, for rows in the order of documents."""
     seen, expected = set(), {}
     for i, text, _ in rows:
         raw = (text or "").encode()
@@ -191,8 +197,23 @@ def test_substring_dedup(spark, monkeypatch, stretches):
         runs = int((gone & ~np.append(False, gone[:-1])).sum()) if raw else 0
         kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
         expected[i] = (len(raw), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest())
-    got = substring_dedup.decisions(table(spark, rows), Stages(spark).write, 1 << 18).collect()
-    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == expected
+    return expected
+
+
+def test_substring_dedup_of_periodic_and_huge_texts(spark):
+    """Runs of many periods, alone, between prose and across documents; a passage over the border of
+    two pieces of 2**20 bytes; a null doc_id last."""
+    a, rng = prose(3, 60), random.Random(5)
+    huge = "".join(rng.choice("abcdefghijklmnop") for _ in range((1 << 20) - 150)) + a + "." * 3_000
+    rows = [(1, huge, "en"), (2, "z" * 200_000, "en"), (3, "y" + "z" * 400 + "x", "en"), (4, a[:250] + "z" * 150 + a, "en")]
+    for k, period in enumerate([2, 7, 39, 40, 41, 60, 61, 62, 100, 150]):
+        unit = "".join(rng.choice("ab") for _ in range(period))
+        rows += [(10 + 2 * k, unit * 30 + a[k : k + 130], "en"), (11 + 2 * k, "q" + (unit * 30)[k : 20 * period], "en")]
+    rows.append((None, a + huge[1_000:2_000] + "." * 120, "en"))
+    got = substring_dedup.decisions(table(spark, rows), Stages(spark).write, 1 << 20).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == removed(rows)
+    moved = sum(int((~own).sum()) for *_, own in substring_dedup.stretches(b"z" * 5_000_000))
+    assert moved <= 5, "a run of one character moves one stretch of each piece"
 
 
 ALPHABET = ["a", "the", " ", "  ", "\n", "é", "'s", "1", ".", "!!", "\xa0", "\x0b", "<|endoftext|>", "😀", "\t", "漢", "000"]
