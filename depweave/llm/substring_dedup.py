@@ -25,7 +25,8 @@ digest. Columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -48,6 +49,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _PIECE = 1 << 20
 _PLACE = _U(_PIECE - 1)
+_TOGETHER = 1 << 16  # Bytes of short texts that are looked at in one step; arrays of this size stay in a cache.
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -59,12 +61,36 @@ def _powers(base: int, n: int) -> np.ndarray:
 _UP, _DOWN = _powers(_BASE, _PIECE), _powers(_INVERSE, _PIECE)
 
 
-Stretch = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+@dataclass
+class Stretches:
+    """Stretches of some texts or of a piece of one: for each the place of its piece in `pieces` (text
+    number, start of the piece, bytes), the hash of its anchor, its first and last start in the piece,
+    and whether all its strings start earlier in the piece too, one period before."""
 
+    pieces: list[tuple[int, int, bytes]]
+    piece: np.ndarray
+    hashes: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    periodic: np.ndarray
 
-def _anchored(raw: np.ndarray) -> Stretch:
-    """Of a piece of up to 2**20 bytes: hash of the anchor, first and last start of each stretch, and
-    whether all its strings start earlier in the piece too, one period before."""
+    def numbers(self) -> np.ndarray:
+        return np.array([number for number, _, _ in self.pieces])[self.piece]
+
+    def starts(self) -> np.ndarray:
+        return np.array([at for _, at, _ in self.pieces])[self.piece] + self.first
+
+    def bytes_of(self, which: np.ndarray) -> Iterator[bytes]:
+        ends = (self.last[which] + LENGTH).tolist()
+        for k, a, b in zip(self.piece[which].tolist(), self.first[which].tolist(), ends, strict=True):
+            yield self.pieces[k][2][a:b]
+
+
+def _anchored(pieces: list[tuple[int, int, bytes]]) -> Stretches:
+    """Of pieces of LENGTH bytes or more each, up to 2**20 together."""
+    raw = np.frombuffer(b"".join(piece for _, _, piece in pieces), np.uint8)
+    lengths = np.array([len(piece) for _, _, piece in pieces])
+    begins = np.cumsum(lengths) - lengths
     n, grams, width = len(raw), len(raw) - GRAM + 1, LENGTH - GRAM + 1
     total = np.concatenate([np.zeros(1, _U), np.cumsum((raw.astype(_U) + _U(1)) * _UP[:n], dtype=_U)])
     h = (total[GRAM:] - total[:grams]) * _DOWN[:grams]
@@ -78,40 +104,64 @@ def _anchored(raw: np.ndarray) -> Stretch:
     if rest:
         least = np.minimum(least[:-rest], least[rest:])
     at = (least & _PLACE).astype(np.int64)
-    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    last, anchors = np.append(first[1:] - 1, len(at) - 1), at[first]
-    return h[anchors].view(np.int64), first, last, _periodic(raw, h[anchors], anchors, first, last)
-
-
-def _periodic(raw: np.ndarray, hashes: np.ndarray, anchors: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    fresh = np.append(True, at[1:] != at[:-1])
+    # Starts over the border of two pieces are cut off and left out.
+    fresh[begins] = True
+    fresh[(begins + lengths - LENGTH + 1)[:-1]] = True
+    first = np.flatnonzero(fresh)
+    last = np.append(first[1:] - 1, len(at) - 1)
+    piece = np.searchsorted(begins, first, "right") - 1
+    whole = first <= (begins + lengths)[piece] - LENGTH
+    first, last, piece = first[whole], last[whole], piece[whole]
+    anchors = at[first]
+    hashes = h[anchors].view(np.int64)
+    begin = begins[piece]
+    periodic = _periodic(raw, hashes, anchors, first, last, begin)
+    return Stretches(pieces, piece, hashes, first - begin, last - begin, periodic)
+
+
+def _periodic(raw: np.ndarray, hashes: np.ndarray, anchors: np.ndarray, first: np.ndarray, last: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """In a run of period p neighbouring stretches have equal anchors, p apart; the bytes tell. Such a
     stretch is no string's first place, so leaving it out of all comparisons loses nothing."""
     own = np.zeros(len(first), bool)
-    like = np.flatnonzero(hashes[1:] == hashes[:-1]) + 1
+    like = np.flatnonzero((hashes[1:] == hashes[:-1]) & (begin[1:] == begin[:-1])) + 1
     periods = anchors[like] - anchors[like - 1]
     for p in np.unique(periods):
-        which = like[(periods == p) & (first[like] >= p)]
+        which = like[(periods == p) & (first[like] - p >= begin[like])]
         differ = np.append(0, np.cumsum(raw[p:] != raw[:-p]))
         own[which] = differ[last[which] + LENGTH - p] == differ[first[which] - p]
     return own
 
 
-def stretches(raw: bytes) -> Iterator[Stretch]:
-    """(hashes, first starts, last starts, periodic) over a text of any length; pieces overlap so that
-    each string is in one."""
-    data = np.frombuffer(raw, np.uint8)
-    step = _PIECE - LENGTH + 1
-    for k in range(0, max(len(data) - LENGTH + 1, 0), step):
-        hashes, first, last, own = _anchored(data[k : k + _PIECE])
-        yield hashes, first + k, last + k, own
+def stretches(raws: Iterable[bytes]) -> Iterator[Stretches]:
+    """Short texts are taken together, long ones in pieces, which overlap so that each string is in
+    one."""
+    held: list[tuple[int, int, bytes]] = []
+    size, step = 0, _PIECE - LENGTH + 1
+    for number, raw in enumerate(raws):
+        if len(raw) >= _TOGETHER:
+            for k in range(0, len(raw) - LENGTH + 1, step):
+                yield _anchored([(number, k, raw[k : k + _PIECE])])
+        elif len(raw) >= LENGTH:
+            held.append((number, 0, raw))
+            size += len(raw)
+            if size >= _TOGETHER:
+                yield _anchored(held)
+                held, size = [], 0
+    if held:
+        yield _anchored(held)
+
+
+def _encoded(texts: pd.Series) -> Iterator[bytes]:
+    return (text.encode() for text in texts)
 
 
 def _anchors(frame: pd.DataFrame) -> Iterator[np.ndarray]:
-    """The hashes of the anchors of the texts, of some hundred texts at a time."""
+    """The hashes of the anchors of the texts, of some pieces at a time."""
     held: list[np.ndarray] = []
-    for text in frame["text"]:
-        held += [hashes[~own] for hashes, _, _, own in stretches(text.encode())]
-        if len(held) >= 500:
+    for found in stretches(_encoded(frame["text"])):
+        held.append(found.hashes[~found.periodic])
+        if len(held) >= 16:
             yield np.concatenate(held)
             held = []
     if held:
@@ -214,10 +264,39 @@ _CODE = 31  # Bits below a start: 0 for a stretch that stays, or 1 + the part of
 MOVED = "anchor long, part int, no boolean, doc_id long, tie long, start long, end long, bytes binary"
 
 
-def _runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
-    """First and last index of each run of true values."""
-    edges = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-    return zip(np.flatnonzero(edges == 1).tolist(), (np.flatnonzero(edges == -1) - 1).tolist(), strict=True)
+def _runs(flags: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of each run of true values within a piece."""
+    at = np.flatnonzero(flags)
+    fresh = (at[1:] != at[:-1] + 1) | (piece[at[1:]] != piece[at[:-1]])
+    return at[np.append(True, fresh)[: len(at)]], at[np.append(fresh, True)[: len(at)]]
+
+
+class _Table:
+    """Rows gathered as arrays until they fill a frame."""
+
+    def __init__(self, names: list[str]) -> None:
+        self._names = names
+        self._parts: list[list] = []
+        self._size = 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        self._parts.append(columns)
+        self._size += len(columns[0])
+
+    def full(self) -> bool:
+        return self._size >= 20_000
+
+    def frame(self) -> pd.DataFrame:
+        columns = zip(*self._parts, strict=True)
+        out = {name: np.concatenate(parts) for name, parts in zip(self._names, columns, strict=bool(self._parts))}
+        self._parts, self._size = [], 0
+        return pd.DataFrame(out, columns=self._names)
+
+
+def _objects(values: list) -> np.ndarray:
+    out = np.empty(len(values), object)
+    out[:] = values
+    return out
 
 
 def repeated(bodies: DataFrame, stage: Stage, bits: int = BITS) -> DataFrame:
@@ -227,31 +306,18 @@ def repeated(bodies: DataFrame, stage: Stage, bits: int = BITS) -> DataFrame:
     shared = bloom.Filter(bodies.sparkSession, again, bits)
 
     def digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []
-        count = 0
+        table = _Table(["anchor", "content", *KEY, "start"])
         for frame in frames:
-            for no, doc_id, tie, text in zip(*[frame[c] for c in [*KEY, "text"]], strict=True):
-                raw = text.encode()
-                for hashes, first, last, own in stretches(raw):
-                    hit = np.flatnonzero(shared.test(hashes) & ~own)
-                    ends = (last[hit] + LENGTH).tolist()
-                    contents = [
-                        xxhash.xxh3_64_intdigest(raw[a:b])
-                        for a, b in zip(first[hit].tolist(), ends, strict=True)
-                    ]
-                    held.append((hashes[hit], np.array(contents, _U).view(np.int64), first[hit], (no, doc_id, tie)))
-                    count += len(hit)
-                    if count >= 20_000:
-                        yield table(held)
-                        held, count = [], 0
-        if held:
-            yield table(held)
-
-    def table(held: list[tuple]) -> pd.DataFrame:
-        sizes = [len(h[0]) for h in held]
-        out = {name: np.concatenate([h[k] for h in held]) for k, name in enumerate(["anchor", "content", "start"])}
-        out |= {name: np.repeat(np.array([h[3][k] for h in held]), sizes) for k, name in enumerate(KEY)}
-        return pd.DataFrame(out)[["anchor", "content", *KEY, "start"]]
+            keys = [frame[c].to_numpy() for c in KEY]
+            for found in stretches(_encoded(frame["text"])):
+                hit = np.flatnonzero(shared.test(found.hashes) & ~found.periodic)
+                contents = [xxhash.xxh3_64_intdigest(stretch) for stretch in found.bytes_of(hit)]
+                number = found.numbers()[hit]
+                content = np.array(contents, _U).view(np.int64)
+                table.add(found.hashes[hit], content, *[key[number] for key in keys], found.starts()[hit])
+                if table.full():
+                    yield table.frame()
+        yield table.frame()
 
     place = F.struct(*KEY, "start")
     parts = bodies.mapInPandas(digests, "anchor long, content long, no boolean, doc_id long, tie long, start long")
@@ -274,27 +340,33 @@ def repeated(bodies: DataFrame, stage: Stage, bits: int = BITS) -> DataFrame:
     lists = listed.groupBy(*KEY).agg(F.collect_list("entry").alias("entries"))
 
     def moved(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, rows = [part.split()[0] for part in MOVED.split(", ")], []
+        table = _Table([part.split()[0] for part in MOVED.split(", ")])
         for frame in frames:
-            for no, doc_id, tie, text, entries in zip(*[frame[c] for c in [*KEY, "text", "entries"]], strict=True):
-                raw, key = text.encode(), (no, doc_id, tie)
-                known = np.sort(np.asarray([] if entries is None else entries, np.int64))
-                places, codes = known >> _CODE, known & ((1 << _CODE) - 1)
-                for hashes, first, last, own in stretches(raw):
-                    at = np.searchsorted(places, first)
-                    heads = np.zeros(len(first), bool)
-                    inside = at < len(places)
-                    heads[inside] = places[at[inside]] == first[inside]
-                    for a, b in _runs((shared.test(hashes) & ~heads) | own):
-                        rows.append((0, 0, *key, int(first[a]), int(last[b]) + LENGTH, None))
-                    for k in np.flatnonzero(heads):
-                        if part := int(codes[at[k]]):
-                            a, b = int(first[k]), int(last[k]) + LENGTH
-                            rows.append((int(hashes[k]), part - 1, *key, a, b, raw[a:b]))
-                    if len(rows) >= 10_000:
-                        yield pd.DataFrame(rows, columns=names)
-                        rows = []
-        yield pd.DataFrame(rows, columns=names)
+            keys, entries = [frame[c].to_numpy() for c in KEY], frame["entries"].tolist()
+            for found in stretches(_encoded(frame["text"])):
+                # Each piece has its list of first stretches; all of them as one sorted array.
+                lists = [entries[number] for number, _, _ in found.pieces]
+                lists = [np.sort(np.asarray([] if e is None else e, np.int64)) for e in lists]
+                known = np.concatenate(lists)
+                owner = np.repeat(np.arange(len(lists)), [len(e) for e in lists])
+                start, number = found.starts(), found.numbers()
+                places, wanted = (owner << 32) | (known >> _CODE), (found.piece << 32) | start
+                at = np.minimum(np.searchsorted(places, wanted), max(len(places) - 1, 0))
+                head = places[at] == wanted if len(places) else np.zeros(len(wanted), bool)
+                a, b = _runs((shared.test(found.hashes) & ~head) | found.periodic, found.piece)
+                none = np.zeros(len(a), np.int64)
+                ends = start + found.last - found.first + LENGTH
+                own = [key[number[a]] for key in keys]
+                table.add(none, none, *own, start[a], ends[b], _objects([None] * len(a)))
+                heads = np.flatnonzero(head)
+                part = (known[at[heads]] & ((1 << _CODE) - 1)) - 1 if len(places) else heads
+                heads, part = heads[part >= 0], part[part >= 0]
+                own = [key[number[heads]] for key in keys]
+                held = _objects(list(found.bytes_of(heads)))
+                table.add(found.hashes[heads], part, *own, start[heads], ends[heads], held)
+                if table.full():
+                    yield table.frame()
+        yield table.frame()
 
     met = bodies.join(lists, KEY, "left").select(*KEY, "text", "entries")
     pieces = stage("pieces", met.mapInPandas(moved, MOVED))
