@@ -49,7 +49,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _PIECE = 1 << 20
 _PLACE = _U(_PIECE - 1)
-_TOGETHER = 1 << 16  # Bytes of short texts that are looked at in one step; arrays of this size stay in a cache.
+_TOGETHER = 1 << 15  # Bytes of short texts that are looked at in one step; arrays of this size stay in a cache.
 
 
 def _powers(base: int, n: int) -> np.ndarray:

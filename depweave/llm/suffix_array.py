@@ -34,20 +34,26 @@ def smaller(text: np.ndarray) -> np.ndarray:
 
 
 def _sorted(places: np.ndarray, keys: np.ndarray, depth: int) -> np.ndarray:
-    """`places` by their first `depth` bytes: by eight bytes, and only ties by the next eight."""
+    """`places` by their first `depth` bytes: by eight bytes, and only ties that differ by the next eight."""
     order = places[np.argsort(keys[places], kind="stable")]
     first = keys[order]
     fresh = np.append(True, first[1:] != first[:-1])
     for at in range(8, depth, 8):
-        tied = ~fresh | np.append(~fresh[1:], False)
-        if not tied.any():
+        where = np.flatnonzero(~fresh | np.append(~fresh[1:], False))
+        if not len(where):
             break
-        where = np.flatnonzero(tied)
-        group, key = np.cumsum(fresh)[where], keys[order[where] + at]
+        # Groups that have the next eight bytes in common stay as they are.
+        key, inner = keys[order[where] + at], ~fresh[where]
+        differs = inner & np.append(False, key[1:] != key[:-1])
+        group = np.cumsum(~inner) - 1
+        mixed = np.zeros(group[-1] + 1, bool)
+        mixed[group[differs]] = True
+        chosen = mixed[group]
+        where, group, key = where[chosen], group[chosen], key[chosen]
         moved = np.lexsort((key, group))
         order[where] = order[where][moved]
         group, key = group[moved], key[moved]
-        fresh[where] = np.append(True, (group[1:] != group[:-1]) | (key[1:] != key[:-1]))
+        fresh[where] = np.append(True, (group[1:] != group[:-1]) | (key[1:] != key[:-1]))[: len(where)]
     return order
 
 
