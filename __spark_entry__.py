@@ -23,7 +23,9 @@ from depweave.sources import (  # noqa: E402
     read_files,
     read_repos,
     read_stopwords,
+    split_repos,
     write_inputs,
+    write_repo_lines,
 )
 from oracle_queries import ORACLE_SQL  # noqa: E402
 
@@ -195,6 +197,13 @@ def py_pair_counts(x: _Inputs) -> DataFrame:
     return cooccur.pair_counts(x.known(), stage=x.stage)
 
 
+def py_pair_maps(x: _Inputs) -> DataFrame:
+    """The maps of partners in small parts, with a row for each entry."""
+    pairs = x.stage("pairs", cooccur.pair_counts(x.known(), stage=x.stage))
+    maps = cooccur.partner_maps(pairs, part_size=50)
+    return maps.select("dep1", "part", F.explode("partners").alias("dep2", "cnt"))
+
+
 def py_top_partners(x: _Inputs) -> DataFrame:
     return cooccur.top_partners(x.known(), B, stage=x.stage)
 
@@ -316,7 +325,16 @@ def python_job(x: _Inputs) -> DataFrame:
     contents = read_contents(x.spark, f"{folder}/contents", lang="python")
     files = read_files(x.spark, f"{folder}/files", lang="python")
     batch.python_batch(
-        contents, files, results.read("repos"), x.stage, results.write, K, N, B, stopwords=stop
+        contents,
+        files,
+        results.read("repos"),
+        x.stage,
+        results.write,
+        K,
+        N,
+        B,
+        stopwords=stop,
+        rows=results.rows,
     )
     results.publish()
     return _rows_of(Results(x.spark, f"{folder}/out", "python"))
@@ -331,23 +349,41 @@ def go_job(x: _Inputs) -> DataFrame:
     files = read_files(x.spark, f"{folder}/files", lang="go")
     for _ in range(2):
         results.write("repos", resolve.go_repo_dimension(read_repos(x.spark, f"{folder}/repos", "go")))
-        batch.go_batch(contents, files, x.stage, results.write, K, N)
+        batch.go_batch(contents, files, x.stage, results.write, K, N, rows=results.rows)
         results.publish()
         results.prune()
     return _rows_of(Results(x.spark, f"{folder}/out", "go"))
 
 
 def result_counts(x: _Inputs) -> DataFrame:
+    """The numbers of rows that are observed while the tables are written."""
     resolved = x.stage("resolved", x.resolved())
     known = resolve.known_deps_of(resolved)
     degrees = graph.degree(resolve.edges_of(resolved))
-    return batch.counts_of(
-        K=graph.top_repos(degrees, K),
-        B=cooccur.top_pairs(known, B, stage=x.stage),
-        repos=x.dimension(),
+    results = Results(x.spark, f"{x.stages.path}/results", "python")
+    results.write("top_repos", graph.top_repos(degrees, K))
+    results.write("top_cooccurs", cooccur.top_pairs(known, B, stage=x.stage))
+    results.write("repos", x.dimension())
+    rows = results.rows
+    return batch.known_counts(
+        x.spark, K=rows("top_repos"), B=rows("top_cooccurs"), repos=rows("repos")
     )
 
 
+def _split_repos(x: _Inputs) -> tuple[DataFrame, DataFrame]:
+    folder = f"{x.stages.path}/repo_lines"
+    write_repo_lines(x.tables, folder)
+    return split_repos(x.spark, folder, "python", x.stage)
+
+
+def repos_accepted(x: _Inputs) -> DataFrame:
+    return _split_repos(x)[0]
+
+
+def repos_rejected(x: _Inputs) -> DataFrame:
+    return _split_repos(x)[1].select("record", "reason")
+
+
 def graph_json(x: _Inputs) -> DataFrame:
     return batch.site_documents(x.stage("top_flowers", _top_flowers(x.py_graph())))["top_K"]
 
@@ -376,6 +412,7 @@ _QUERIES = (
     py_known_deps,
     py_known_ascii_deps,
     py_pair_counts,
+    py_pair_maps,
     py_top_partners,
     py_top_partners_split,
     py_top_pairs,
@@ -394,6 +431,8 @@ _QUERIES = (
     python_job,
     go_job,
     result_counts,
+    repos_accepted,
+    repos_rejected,
     graph_json,
     pairs_json,
 )

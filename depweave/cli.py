@@ -14,14 +14,14 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from depweave.operators import cooccur, flowers, lookup, resolve
 from depweave.plans.batch import go_batch, python_batch, site_documents
 from depweave.plans.stages import Stages
 from depweave.schemas import check_language
 from depweave.sinks import Results, write_document
-from depweave.sources import read_contents, read_files, read_repos, read_stopwords
+from depweave.sources import read_contents, read_files, read_repos, read_stopwords, split_repos
 
 
 def parser() -> argparse.ArgumentParser:
@@ -36,7 +36,11 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(option, required=True)
         return sub
 
-    command("index", "--repos").add_argument("--stopwords")
+    index = command("index", "--repos")
+    index.add_argument("--stopwords")
+    index.add_argument(
+        "--reject", action="store_true", help="rows that don't fit go to the table `rejected`"
+    )
     batch = command("batch", "--contents", "--files")
     batch.add_argument("--format", default="parquet")
     batch.add_argument("--by-lang", action="store_true", help="the folders are partitioned by lang")
@@ -56,16 +60,26 @@ def parser() -> argparse.ArgumentParser:
 
 def index(spark: SparkSession, args: argparse.Namespace) -> None:
     """The repository table. Stop words apply to Python only."""
-    repos = read_repos(spark, args.repos, args.lang)
+    results, stages = Results(spark, args.out, args.lang), Stages(spark)
+    try:
+        if args.reject:
+            repos, rejected = split_repos(spark, args.repos, args.lang, stages.write)
+            results.write("rejected", rejected)
+            print(f"rejected: {results.rows('rejected')}")
+        else:
+            repos = read_repos(spark, args.repos, args.lang)
+        results.write("repos", _dimension(spark, args, repos))
+        print(f"repositories: {results.rows('repos')}")
+        results.publish()
+    finally:
+        stages.remove()
+
+
+def _dimension(spark: SparkSession, args: argparse.Namespace, repos: DataFrame) -> DataFrame:
     if args.lang == "python":
         stopwords = read_stopwords(spark, args.stopwords) if args.stopwords else None
-        dim = resolve.repo_dimension(repos, stopwords)
-    else:
-        dim = resolve.go_repo_dimension(repos)
-    results = Results(spark, args.out, args.lang)
-    written = results.write("repos", dim)
-    print(f"repositories: {written.count()}")
-    results.publish()
+        return resolve.repo_dimension(repos, stopwords)
+    return resolve.go_repo_dimension(repos)
 
 
 def batch(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -87,6 +101,7 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
                 suffix_len=args.suffix_len,
                 strip_cr=args.strip_cr,
                 ascii_only=args.ascii_only,
+                rows=results.rows,
             )
         else:
             go_batch(
@@ -98,6 +113,7 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
                 n=args.n,
                 keep_orphans=args.keep_orphans,
                 drop_self=args.drop_self,
+                rows=results.rows,
             )
         # All results are written, and become visible together.
         results.publish()

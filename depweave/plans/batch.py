@@ -2,7 +2,8 @@
 
 `stage(name, table)` writes an intermediate table that is used several times and gives it back, see
 `Stages`. `result(name, table)` does the same for a result, see `Results`; left out, results stay
-lazy. Files are read once: all results follow from the staged dependencies.
+lazy. Files are read once: all results follow from the staged dependencies. `rows(name)` tells how
+many rows of a result were written, as `Results.rows` does; left out, results are counted by a scan.
 """
 
 from __future__ import annotations
@@ -11,13 +12,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cooccur, extract, flowers, graph, resolve
 from ..operators.known_names import NameFilter
 
 Write = Callable[[str, DataFrame], DataFrame]
+Rows = Callable[[str], int]
 
 
 def _lazy(name: str, table: DataFrame) -> DataFrame:
@@ -69,6 +71,19 @@ def counts_of(**tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def known_counts(spark: SparkSession, **counts: int) -> DataFrame:
+    """(name, n), of numbers that are known."""
+    return spark.createDataFrame(list(counts.items()), "name string, n long")
+
+
+def _counts(results: dict[str, DataFrame], rows: Rows | None, **names: str) -> DataFrame:
+    """As `counts_of` of some results, each given by its name."""
+    if rows is None:
+        return counts_of(**{to: results[name] for to, name in names.items()})
+    spark = next(iter(results.values())).sparkSession
+    return known_counts(spark, **{to: rows(name) for to, name in names.items()})
+
+
 def _graph_results(g: Graph, k: int, result: Write) -> dict[str, DataFrame]:
     top = result("top_repos", graph.top_repos(g.degrees, k))
     all_flowers = result("flowers", flowers.flowers(g.petals, g.degrees))
@@ -94,6 +109,7 @@ def python_batch(
     strip_cr: bool = False,
     ascii_only: bool = False,
     stopwords: DataFrame | None = None,
+    rows: Rows | None = None,
 ) -> dict[str, DataFrame]:
     """Neighbours, top repositories, flowers, co-occurrences and the counts of top rows.
 
@@ -107,10 +123,10 @@ def python_batch(
     edges = result("neighbors", resolve.edges_of(resolved))
     results = _graph_results(graph_of(edges, stage, n), k, result)
     known = resolve.known_deps_of(resolved, ascii_only)
-    cooccurs = result("cooccurs", cooccur.top_partners(known, b, stage=stage))
-    top_cooccurs = result("top_cooccurs", cooccur.top_pairs_of(cooccurs, b))
-    counts = result("counts", counts_of(K=results["top_repos"], B=top_cooccurs))
-    return {**results, "cooccurs": cooccurs, "top_cooccurs": top_cooccurs, "counts": counts}
+    results["cooccurs"] = result("cooccurs", cooccur.top_partners(known, b, stage=stage))
+    results["top_cooccurs"] = result("top_cooccurs", cooccur.top_pairs_of(results["cooccurs"], b))
+    counts = _counts(results, rows, K="top_repos", B="top_cooccurs")
+    return {**results, "counts": result("counts", counts)}
 
 
 def go_batch(
@@ -122,6 +138,7 @@ def go_batch(
     n: int = 5,
     keep_orphans: bool = False,
     drop_self: bool = False,
+    rows: Rows | None = None,
 ) -> dict[str, DataFrame]:
     """As `python_batch` without resolution and co-occurrence: import paths name repositories."""
     edges = graph.go_edges(files, extract.go_deps(contents), keep_orphans, drop_self)
@@ -130,7 +147,7 @@ def go_batch(
     else:
         edges = result("neighbors", edges)
     results = _graph_results(graph_of(edges, stage, n), k, result)
-    return {**results, "counts": result("counts", counts_of(K=results["top_repos"]))}
+    return {**results, "counts": result("counts", _counts(results, rows, K="top_repos"))}
 
 
 def site_documents(

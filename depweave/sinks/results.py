@@ -6,7 +6,7 @@ import json
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from ..schemas import LANGUAGES, check_language
 # The order rows are written in; the first column is the key of reads.
 KEYS = {
     "repos": ("repo_name", "user"),
+    "rejected": ("file", "record"),
     "neighbors": ("dst", "src"),
     "top_repos": ("rank",),
     "flowers": ("root",),
@@ -56,19 +57,25 @@ class Results:
 
         Rows are in key order. Those of a table that is looked up are in buckets, so one key is in one
         file, and a join by key shuffles nothing of it. Those of other tables go to files by ranges of
-        the key columns, so a hub's many neighbours are spread over several.
+        the key columns, so a hub's many neighbours are spread over several. Rows are counted as they are
+        written, see `rows`.
         """
         keys = KEYS[name]
         entry = {"version": self.version, "buckets": 0, "schema": table.schema.jsonValue()}
         path = self._path(name, entry)
+        # Behind the last shuffle: there each row passes once, and of a task's attempts one counts.
+        written, count = Observation(), F.count(F.lit(1)).alias("n")
         if name in BUCKETED:
             entry["buckets"] = self.buckets
-            dealt = table.repartition(self.buckets, keys[0])
+            dealt = table.repartition(self.buckets, keys[0]).observe(written, count)
             writer = dealt.write.bucketBy(self.buckets, keys[0]).sortBy(*keys)
             writer.mode("overwrite").option("path", path).saveAsTable(self._catalog_name(name, entry))
         else:
             ordered = table.repartitionByRange(*keys).sortWithinPartitions(*keys)
+            ordered = ordered.observe(written, count)
             ordered.write.mode("overwrite").parquet(path)
+        # A plan that is known to be empty before it runs may observe nothing.
+        entry["rows"] = written.get.get("n") or 0
         self._written[name] = entry
         return self._table(name, entry)
 
@@ -90,10 +97,17 @@ class Results:
         return json.loads(lines[0]["value"])
 
     def read(self, name: str) -> DataFrame:
+        return self._table(name, self._entry(name))
+
+    def rows(self, name: str) -> int:
+        """The number of rows of a table, counted when it was written: no scan."""
+        return self._entry(name)["rows"]
+
+    def _entry(self, name: str) -> dict:
         entry = self._written.get(name) or self.published().get(name)
         if entry is None:
             raise ValueError(f"no table {name} of {self.lang} in {self.folder}")
-        return self._table(name, entry)
+        return entry
 
     def prune(self) -> None:
         """Deletes the language's tables that are neither current nor written by this object."""

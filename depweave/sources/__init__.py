@@ -1,13 +1,14 @@
 """Input tables."""
 
 from .corpus import corpus
-from .export import write_inputs
+from .export import write_inputs, write_repo_lines
 from .readers import (
     read_contents,
     read_files,
     read_repos,
     read_stopwords,
     register_views,
+    split_repos,
     stopwords_from_names,
 )
 
@@ -18,6 +19,8 @@ __all__ = [
     "read_repos",
     "read_stopwords",
     "register_views",
+    "split_repos",
     "stopwords_from_names",
     "write_inputs",
+    "write_repo_lines",
 ]

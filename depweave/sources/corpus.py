@@ -174,6 +174,20 @@ class Corpus:
         customers = self._repos_of("customer", "u", "c", "c_custkey", household, "m")
         return customers.unionByName(self.rivals)
 
+    @cached_property
+    def repo_lines(self) -> DataFrame:
+        """(line): `repos` as the lines of a CSV file, some with stars that are no number, some with a
+        field too few or too many."""
+        form = F.col("stars") % 10
+        start = F.concat_ws(",", "user", "repo_name", "num_bytes")
+        line = (
+            F.when(form == 3, _text(start, ",many,", F.col("fork")))
+            .when(form == 5, _text(start, ",", F.col("stars")))
+            .when(form == 7, _text(start, ",", F.col("stars"), ",", F.col("fork"), ",x"))
+            .otherwise(_text(start, ",", F.col("stars"), ",", F.col("fork")))
+        )
+        return self.repos.select(line.alias("line"))
+
     @cached_property
     def stopwords(self) -> DataFrame:
         """(name)."""

@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 from .corpus import Corpus
 
 
+def write_repo_lines(tables: Corpus, folder: str) -> None:
+    """`repo_lines` as CSV files with a header row."""
+    header = "user,repo_name,num_bytes,stars,fork"
+    # One column whose separator is in no line, so lines stay as they are.
+    lines = tables.repo_lines.select(F.col("line").alias(header))
+    lines.write.csv(folder, header=True, sep="\u0001", quote="")
+
+
 def write_inputs(tables: Corpus, folder: str, lang: str) -> None:
     """Contents and files as Parquet by language, repositories as CSV and stop words as text, each
     with all columns of its layout, in subfolders of `folder`."""

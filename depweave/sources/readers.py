@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +59,39 @@ def read_repos(spark: SparkSession, path: str, lang: str, mode: str = "FAILFAST"
     )
 
 
+def split_repos(
+    spark: SparkSession, path: str, lang: str, stage: Callable[[str, DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """(repositories, rejected): the rows of `read_repos` that fit, and (file, record, reason) of those
+    that don't. The reason is `fields` where their number is another one, and else `value`.
+
+    The files are read once: `stage` writes all rows, and both tables are read from there.
+    """
+    lang = check_language(lang)
+    schema = REPOS_PYTHON if lang == "python" else REPOS_GO
+    record = T.StructField("_record", T.StringType())
+    options = {
+        "escape": '"',
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": record.name,
+        "ignoreLeadingWhiteSpace": "true",
+        "ignoreTrailingWhiteSpace": "true",
+    }
+    reader = spark.read.schema(T.StructType([*schema.fields, record])).options(**options)
+    rows = reader.csv(path, header=True).select("*", F.col("_metadata.file_path").alias("_file"))
+    # A record that fits when all its fields are texts has a field that is none of its type.
+    texts = ", ".join(f"`{name}` string" for name in (*schema.names, record.name))
+    of_texts = F.from_csv(record.name, texts, options)[record.name]
+    reason = F.when(of_texts.isNotNull(), "fields").otherwise("value")
+    read = stage(
+        "repos_read", rows.withColumn("_reason", F.when(F.col(record.name).isNotNull(), reason))
+    )
+    rejected = read.where(F.col("_reason").isNotNull()).select(
+        F.col("_file").alias("file"), F.col(record.name).alias("record"), F.col("_reason").alias("reason")
+    )
+    return read.where(F.col("_reason").isNull()).select(schema.names), rejected
+
+
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     """(name) from text files that hold names parted by commas or line ends."""
     lines = spark.read.text(path)

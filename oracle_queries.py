@@ -92,6 +92,16 @@ _STEPS = {
         FROM customer
         UNION ALL SELECT * FROM rivals""",
     ),
+    "repo_lines": (
+        ("repos",),
+        """
+        SELECT *, CASE stars % 10
+            WHEN 3 THEN concat("user", ',', repo_name, ',0,many,', fork)
+            WHEN 5 THEN concat("user", ',', repo_name, ',0,', stars)
+            WHEN 7 THEN concat("user", ',', repo_name, ',0,', stars, ',', fork, ',x') END AS record,
+          CASE stars % 10 WHEN 3 THEN 'value' ELSE 'fields' END AS reason
+        FROM repos""",
+    ),
     "stopwords": (
         (),
         "SELECT concat('m', p_partkey) AS name FROM part WHERE p_partkey % 101 = 7",
@@ -316,6 +326,14 @@ ORACLE_SQL = {
     "py_merged_links": _table("merged_links", "source, target", edges="py_edges"),
     "py_known_deps": _table("known", "repo, dep"),
     "py_pair_counts": _table("pairs", "dep1, dep2, cnt"),
+    "py_pair_maps": _sql(
+        """
+        SELECT dep1, CAST('0x' || substr(md5(dep2), 1, 8) AS BIGINT) % CAST(ceil(n / 50.0) AS BIGINT) AS part,
+               dep2, cnt
+        FROM (SELECT *, count(*) OVER (PARTITION BY dep1) AS n FROM (
+          SELECT dep1, dep2, cnt FROM pairs UNION ALL SELECT dep2, dep1, cnt FROM pairs) b) p""",
+        "pairs",
+    ),
     "py_top_partners": _table("partners", "dep1, dep2, cnt, rank"),
     "py_top_partners_split": _table("partners", "dep1, dep2, cnt, rank"),
     "py_top_pairs": _table("top_pairs", "rank, dep1, dep2, cnt, label"),
@@ -396,6 +414,13 @@ ORACLE_SQL = {
         "dim",
         edges="py_edges",
     ),
+    "repos_accepted": _sql(
+        """SELECT "user", repo_name, num_bytes, stars, fork FROM repo_lines WHERE record IS NULL""",
+        "repo_lines",
+    ),
+    "repos_rejected": _sql(
+        "SELECT record, reason FROM repo_lines WHERE record IS NOT NULL", "repo_lines"
+    ),
     "graph_json": _sql(
         """
         SELECT CAST(to_json(struct_pack(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import _Inputs
 from depweave import cli
 from depweave.operators import flowers, graph, resolve
+from depweave.plans.stages import Stages
 from depweave.schemas import CONTENTS, FILES
 from depweave.sinks import Results, by_language
 from depweave.sources import (
@@ -18,6 +19,7 @@ from depweave.sources import (
     read_repos,
     read_stopwords,
     register_views,
+    split_repos,
     stopwords_from_names,
 )
 
@@ -105,6 +107,38 @@ def test_bad_csv_row_fails(spark, tmp_path):
     assert [row["repo_name"] for row in kept] == ['x, "y"']
 
 
+def test_bad_csv_rows_are_kept_apart(spark, tmp_path):
+    (tmp_path / "r.csv").write_text(
+        'user,repo_name,n,stars,fork\na,"x, ""y""",1,2,0\nb,z,1,many,0\nc,"u,v",1,2\nd,w,,,\ne,w,1,2,0,9\n'
+    )
+    (tmp_path / "empty.csv").write_text("user,repo_name,n,stars,fork\n")
+    stages = Stages(spark, str(tmp_path / "shared"))
+    repos, rejected = split_repos(spark, str(tmp_path / "*.csv"), "python", stages.write)
+    assert sorted(tuple(r) for r in repos.collect()) == [("a", 'x, "y"', 1, 2, 0), ("d", "w", None, None, None)]
+    assert repos.schema == read_repos(spark, str(tmp_path / "r.csv"), "python").schema
+    rows = {r["record"]: (Path(r["file"]).name, r["reason"]) for r in rejected.collect()}
+    assert rows == {
+        "b,z,1,many,0": ("r.csv", "value"),
+        'c,"u,v",1,2': ("r.csv", "fields"),
+        "e,w,1,2,0,9": ("r.csv", "fields"),
+    }
+    # Both come from one scan of the files.
+    for table in (repos, rejected):
+        assert "FileScan csv" not in table._jdf.queryExecution().executedPlan().toString()
+    go, none = split_repos(spark, str(tmp_path / "empty.csv"), "go", stages.write)
+    assert go.count() == none.count() == 0
+
+
+def test_index_keeps_bad_rows(spark, tmp_path, capsys, monkeypatch):
+    (tmp_path / "r.csv").write_text("user,repo_name,n\na,x,1\nb,y,much\nc,z\n")
+    out = str(tmp_path / "out")
+    run("index", "--lang", "go", "--out", out, "--repos", str(tmp_path / "r.csv"), "--reject")
+    assert capsys.readouterr().out == "rejected: 2\nrepositories: 1\n"
+    results = Results(spark, out, "go")
+    assert sorted(r["reason"] for r in results.read("rejected").collect()) == ["fields", "value"]
+    assert results.rows("repos") == 1
+
+
 def test_stopwords(spark, tmp_path):
     (tmp_path / "s.txt").write_text("os,sys\nre\n\nos\n")
     assert {row["name"] for row in read_stopwords(spark, str(tmp_path / "s.txt")).collect()} == {

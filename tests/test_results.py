@@ -91,3 +91,25 @@ def test_a_key_reads_one_bucket_and_a_batch_shuffles_no_results(spark, tmp_path)
     assert many.count() == 3_000
     # One exchange: that of the keys.
     assert text.count("Exchange ") == 1 and "Bucketed: true" in text
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    results = Results(spark, str(tmp_path / "out"), "python")
+    partners = spark.range(1_000).select(
+        F.col("id").cast("string").alias("dep1"), F.lit("x").alias("dep2"), F.lit(1).alias("cnt"), F.lit(0).alias("rank")
+    )
+    repos = spark.range(70).select(F.lit("u").alias("user"), F.col("id").cast("string").alias("repo_name"))
+    for name, table, n in (("cooccurs", partners, 1_000), ("repos", repos, 70), ("flowers", None, 0), ("rejected", None, 0)):
+        if table is None:
+            # Empty by statistics, and empty only when the plan runs.
+            columns = "root string" if name == "flowers" else "file string, record string"
+            table = spark.createDataFrame([], columns).unionByName(spark.createDataFrame([], columns).where("1 = 1"))
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+        results.write(name, table)
+        written = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+        assert results.rows(name) == n
+        # No job but those of the write.
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == written >= before
+    results.publish()
+    assert Results(spark, str(tmp_path / "out"), "python").rows("cooccurs") == 1_000
+    assert results.read("cooccurs").count() == 1_000
