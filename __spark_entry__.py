@@ -16,7 +16,7 @@ from depweave.functions import full_name  # noqa: E402
 from depweave.operators import cooccur, extract, flowers, graph, lookup, resolve  # noqa: E402
 from depweave.plans import batch  # noqa: E402
 from depweave.plans.stages import LatestStages  # noqa: E402
-from depweave.sinks import Results  # noqa: E402
+from depweave.sinks import Results, replace_languages  # noqa: E402
 from depweave.sources import (  # noqa: E402
     corpus,
     read_contents,
@@ -26,6 +26,7 @@ from depweave.sources import (  # noqa: E402
     split_repos,
     write_inputs,
     write_repo_lines,
+    write_sources,
 )
 from oracle_queries import ORACLE_SQL  # noqa: E402
 
@@ -355,6 +356,25 @@ def go_job(x: _Inputs) -> DataFrame:
     return _rows_of(Results(x.spark, f"{folder}/out", "go"))
 
 
+def language_edges(x: _Inputs) -> DataFrame:
+    """One job for the languages of a table, run for both and then for Go alone, whose edges it replaces."""
+    folder = f"{x.stages.path}/languages"
+    for lang in ("python", "go"):
+        write_sources(x.tables, folder, lang)
+    # A table of its own: which folders are read is known only when it has been read.
+    listed = x.stage("listed", x.spark.createDataFrame([("python", 1), ("go", 2)], "lang string, run int"))
+    dim = x.stage("dim", x.dimension())
+    for run in (1, 2):
+        langs = listed.where(F.col("run") >= run)
+        contents, files = (
+            read(x.spark, f"{folder}/{name}", lang=langs)
+            for read, name in ((read_contents, "contents"), (read_files, "files"))
+        )
+        edges = batch.edges_by_language(contents, files, dim, x.stage)
+        replace_languages(edges, f"{folder}/edges", "dst", "src")
+    return x.spark.read.schema("dst string, src string, lang string").parquet(f"{folder}/edges")
+
+
 def result_counts(x: _Inputs) -> DataFrame:
     """The numbers of rows that are observed while the tables are written."""
     resolved = x.stage("resolved", x.resolved())
@@ -430,6 +450,7 @@ _QUERIES = (
     partner_documents,
     python_job,
     go_job,
+    language_edges,
     result_counts,
     repos_accepted,
     repos_rejected,

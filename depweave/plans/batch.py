@@ -150,6 +150,25 @@ def go_batch(
     return {**results, "counts": result("counts", _counts(results, rows, K="top_repos"))}
 
 
+def edges_by_language(
+    contents: DataFrame, files: DataFrame, dim: DataFrame, stage: Write
+) -> DataFrame:
+    """(lang, dst, src): the edges of several languages by one job. `contents` and `files` have a column
+    `lang`, as the readers give it for a table of languages; `dim` is Python's."""
+
+    def of(table: DataFrame, lang: str) -> DataFrame:
+        return table.where(F.col("lang") == lang).drop("lang")
+
+    python = resolve.edges_of(
+        python_resolved(of(contents, "python"), of(files, "python"), dim, stage)
+    )
+    go = graph.go_edges(of(files, "go"), extract.go_deps(of(contents, "go")))
+    tables = [(lang, t.select("dst", "src")) for lang, t in (("python", python), ("go", go))]
+    return reduce(
+        DataFrame.unionByName, [t.select(F.lit(lang).alias("lang"), "*") for lang, t in tables]
+    )
+
+
 def site_documents(
     top_flowers: DataFrame, top_cooccurs: DataFrame | None = None
 ) -> dict[str, DataFrame]:

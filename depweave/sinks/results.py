@@ -161,6 +161,18 @@ def by_language(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
+def replace_languages(table: DataFrame, path: str, *keys: str) -> None:
+    """Replaces the folders `<path>/lang=<lang>` of those languages that `table` has rows of; the files of
+    others aren't touched. Rows go to files by ranges of the key columns.
+
+    For tables of one job that nobody reads meanwhile; `Results` publishes several at once.
+    """
+    order = ("lang", *keys)
+    dealt = table.repartitionByRange(*order).sortWithinPartitions(*order)
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("lang").parquet(path)
+
+
 def replace_file(spark: SparkSession, path: str, text: str) -> None:
     """Writes a small file beside `path` and renames it, so readers find the former one or this one."""
     context = spark.sparkContext

@@ -1,7 +1,7 @@
 """Input tables."""
 
 from .corpus import corpus
-from .export import write_inputs, write_repo_lines
+from .export import write_inputs, write_repo_lines, write_sources
 from .readers import (
     read_contents,
     read_files,
@@ -23,4 +23,5 @@ __all__ = [
     "stopwords_from_names",
     "write_inputs",
     "write_repo_lines",
+    "write_sources",
 ]

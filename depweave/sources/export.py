@@ -15,9 +15,9 @@ def write_repo_lines(tables: Corpus, folder: str) -> None:
     lines.write.csv(folder, header=True, sep="\u0001", quote="")
 
 
-def write_inputs(tables: Corpus, folder: str, lang: str) -> None:
-    """Contents and files as Parquet by language, repositories as CSV and stop words as text, each
-    with all columns of its layout, in subfolders of `folder`."""
+def write_sources(tables: Corpus, folder: str, lang: str) -> None:
+    """Contents and files of one language as Parquet, added to the subfolders of `folder`, which are
+    partitioned by language, with all columns of their layouts."""
     contents = tables.py_contents if lang == "python" else tables.go_contents
     language = F.lit(lang).alias("lang")
     contents.select(
@@ -27,7 +27,7 @@ def write_inputs(tables: Corpus, folder: str, lang: str) -> None:
         F.lit(False).alias("binary"),
         F.lit(1).cast("long").alias("copies"),
         language,
-    ).write.partitionBy("lang").parquet(f"{folder}/contents")
+    ).write.mode("append").partitionBy("lang").parquet(f"{folder}/contents")
     tables.files.select(
         "repo_name",
         F.lit("refs/heads/main").alias("ref"),
@@ -36,7 +36,12 @@ def write_inputs(tables: Corpus, folder: str, lang: str) -> None:
         F.col("id").cast("string").alias("id"),
         F.lit(None).cast("string").alias("symlink_target"),
         language,
-    ).write.partitionBy("lang").parquet(f"{folder}/files")
+    ).write.mode("append").partitionBy("lang").parquet(f"{folder}/files")
+
+
+def write_inputs(tables: Corpus, folder: str, lang: str) -> None:
+    """All that a job of one language reads: `write_sources`, repositories as CSV and stop words as text."""
+    write_sources(tables, folder, lang)
     columns = ["user", "repo_name", "num_bytes", "stars", "fork"]
     repos = tables.repos.select(columns if lang == "python" else columns[:3])
     repos.write.csv(f"{folder}/repos", header=True, escape='"')

@@ -8,31 +8,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import CONTENTS, FILES, REPOS_GO, REPOS_PYTHON, STOPWORDS, check_language
+from ..schemas import (
+    CONTENTS,
+    FILES,
+    LANGUAGES,
+    REPOS_GO,
+    REPOS_PYTHON,
+    STOPWORDS,
+    check_language,
+)
 
 
 def _read(
-    spark: SparkSession, path: str, fmt: str, schema: T.StructType, lang: str | None
+    spark: SparkSession, path: str, fmt: str, schema: T.StructType, lang: str | DataFrame | None
 ) -> DataFrame:
     reader = spark.read.format(fmt)
     if lang is None:
         return reader.schema(schema).load(path)
     # `lang` is a partition column of the folder: the filter selects folders, not rows.
     with_lang = T.StructType(schema.fields + [T.StructField("lang", T.StringType())])
-    lang = check_language(lang)
-    return reader.schema(with_lang).load(path).where(F.col("lang") == lang).drop("lang")
+    table = reader.schema(with_lang).load(path)
+    if isinstance(lang, DataFrame):
+        # One row a language at most. Which folders are read follows from it when the query runs.
+        wanted = lang.select("lang").where(F.col("lang").isin(*LANGUAGES)).distinct()
+        return table.join(F.broadcast(wanted), "lang", "left_semi").select(*with_lang.names)
+    return table.where(F.col("lang") == check_language(lang)).drop("lang")
 
 
 def read_contents(
-    spark: SparkSession, path: str, fmt: str = "parquet", lang: str | None = None
+    spark: SparkSession, path: str, fmt: str = "parquet", lang: str | DataFrame | None = None
 ) -> DataFrame:
     """File contents. `path` may be a glob; `fmt` is parquet, orc, json or, with the external
-    spark-avro module on the class path, avro. With `lang` the folder is one partitioned by `lang`."""
+    spark-avro module on the class path, avro. With `lang` the folder is one partitioned by `lang`; where
+    that is a table (lang), the folders of its languages are read and the column `lang` is kept."""
     return _read(spark, path, fmt, CONTENTS, lang)
 
 
 def read_files(
-    spark: SparkSession, path: str, fmt: str = "parquet", lang: str | None = None
+    spark: SparkSession, path: str, fmt: str = "parquet", lang: str | DataFrame | None = None
 ) -> DataFrame:
     """Where each content lies: repository and path. Arguments as in `read_contents`."""
     return _read(spark, path, fmt, FILES, lang)

@@ -414,6 +414,13 @@ ORACLE_SQL = {
         "dim",
         edges="py_edges",
     ),
+    "language_edges": _sql(
+        """
+        SELECT 'python' AS lang, dst, src FROM py_edges
+        UNION ALL SELECT 'go', dst, src FROM go_edges""",
+        "py_edges",
+        "go_edges",
+    ),
     "repos_accepted": _sql(
         """SELECT "user", repo_name, num_bytes, stars, fork FROM repo_lines WHERE record IS NULL""",
         "repo_lines",

@@ -12,7 +12,7 @@ from depweave import cli
 from depweave.operators import flowers, graph, resolve
 from depweave.plans.stages import Stages
 from depweave.schemas import CONTENTS, FILES
-from depweave.sinks import Results, by_language
+from depweave.sinks import Results, by_language, replace_languages
 from depweave.sources import (
     read_contents,
     read_files,
@@ -219,3 +219,30 @@ def test_batch_options(spark, folder, tmp_path):
     edges = Results(spark, out, "go").read("neighbors")
     assert edges.where("src IS NULL").count() > 0
     assert edges.where("src = dst").count() == 0
+
+
+def test_a_table_of_languages_prunes_folders(spark, folder, tmp_path):
+    spark.createDataFrame([("go", 1), ("python", 0)], "lang string, run int").write.parquet(f"{tmp_path}/langs")
+    langs = spark.read.parquet(f"{tmp_path}/langs").where("run = 1")
+    contents = read_contents(spark, f"{folder}/contents", lang=langs)
+    assert contents.columns == [*CONTENTS.names, "lang"]
+    plan = contents._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "BroadcastHashJoin" in plan
+    rows = contents.groupBy("lang").count().collect()
+    one = read_contents(spark, f"{folder}/contents", lang="go")
+    assert [tuple(r) for r in rows] == [("go", one.count())]
+
+
+def test_files_of_other_languages_are_untouched(spark, tmp_path):
+    path = tmp_path / "edges"
+
+    def files(lang):
+        return sorted((f.name, f.read_bytes()) for f in (path / f"lang={lang}").glob("*.parquet"))
+
+    both = spark.createDataFrame([("go", "a", "b"), ("python", "c", "d")], "lang string, dst string, src string")
+    replace_languages(both, str(path), "dst", "src")
+    before = files("python")
+    replace_languages(both.where("lang = 'go'").withColumn("src", F.lit("e")), str(path), "dst", "src")
+    assert files("python") == before
+    rows = spark.read.parquet(str(path)).select("lang", "dst", "src").collect()
+    assert sorted(map(tuple, rows)) == [("go", "a", "e"), ("python", "c", "d")]
