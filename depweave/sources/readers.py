@@ -25,14 +25,15 @@ def _read(
     reader = spark.read.format(fmt)
     if lang is None:
         return reader.schema(schema).load(path)
+    one = None if isinstance(lang, DataFrame) else check_language(lang)
     # `lang` is a partition column of the folder: the filter selects folders, not rows.
     with_lang = T.StructType(schema.fields + [T.StructField("lang", T.StringType())])
     table = reader.schema(with_lang).load(path)
-    if isinstance(lang, DataFrame):
+    if one is None:
         # One row a language at most. Which folders are read follows from it when the query runs.
         wanted = lang.select("lang").where(F.col("lang").isin(*LANGUAGES)).distinct()
         return table.join(F.broadcast(wanted), "lang", "left_semi").select(*with_lang.names)
-    return table.where(F.col("lang") == check_language(lang)).drop("lang")
+    return table.where(F.col("lang") == one).drop("lang")
 
 
 def read_contents(
