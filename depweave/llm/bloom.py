@@ -82,10 +82,10 @@ def _merged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _gathered(segments: DataFrame, column: str, bits: int) -> np.ndarray:
-    """At most `bits` / 8 bytes, whatever the data."""
+    """At most `bits` / 8 bytes, whatever the data, by one job, whose tasks run side by side."""
     size = min(SEGMENT_BYTES, bits // 8)
     whole = np.zeros(bits // 8, np.uint8)
-    for row in segments.toLocalIterator():
+    for row in segments.collect():
         at = row["segment"] * size
         whole[at : at + size] = np.frombuffer(zlib.decompress(row[column]), np.uint8)
     return whole
