@@ -246,3 +246,13 @@ def test_files_of_other_languages_are_untouched(spark, tmp_path):
     assert files("python") == before
     rows = spark.read.parquet(str(path)).select("lang", "dst", "src").collect()
     assert sorted(map(tuple, rows)) == [("go", "a", "e"), ("python", "c", "d")]
+
+
+@pytest.mark.parametrize("fmt", ["orc", "json"])
+def test_other_formats_hold_the_same_rows(spark, folder, tmp_path, fmt):
+    contents = read_contents(spark, f"{folder}/contents", lang="go")
+    path = f"{tmp_path}/contents"
+    contents.withColumn("lang", F.lit("go")).write.format(fmt).partitionBy("lang").save(path)
+    read = read_contents(spark, path, fmt=fmt, lang="go")
+    assert read.schema == CONTENTS
+    assert read.exceptAll(contents).isEmpty() and contents.exceptAll(read).isEmpty()
