@@ -73,7 +73,8 @@ def counts_of(**tables: DataFrame) -> DataFrame:
 
 def known_counts(spark: SparkSession, **counts: int) -> DataFrame:
     """(name, n), of numbers that are known."""
-    return spark.createDataFrame(list(counts.items()), "name string, n long")
+    rows = [F.struct(F.lit(name).alias("name"), F.lit(n).cast("long").alias("n")) for name, n in counts.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def _counts(results: dict[str, DataFrame], rows: Rows | None, **names: str) -> DataFrame:
