@@ -362,7 +362,7 @@ def language_edges(x: _Inputs) -> DataFrame:
     for lang in ("python", "go"):
         write_sources(x.tables, folder, lang)
     # A table of its own: which folders are read is known only when it has been read.
-    listed = x.stage("listed", x.spark.createDataFrame([("python", 1), ("go", 2)], "lang string, run int"))
+    listed = x.stage("listed", x.spark.sql("SELECT * FROM VALUES ('python', 1), ('go', 2) AS t (lang, run)"))
     dim = x.stage("dim", x.dimension())
     for run in (1, 2):
         langs = listed.where(F.col("run") >= run)

@@ -9,13 +9,24 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def _lines_of(table: DataFrame, *keys: str) -> DataFrame:
-    """(id, keys, content): the lines of each id, sorted and joined."""
-    return table.groupBy("id", *keys).agg(
-        F.array_join(F.sort_array(F.collect_list("line")), "\n").alias("content")
+def _lines_of(items: DataFrame, line: Column, *keys: str) -> DataFrame:
+    """(id, keys, content): the lines of each id, sorted and joined. Items move, which are
+    short, and lines are made where they are sorted."""
+    lines = items.repartition("id").select("id", *keys, line.alias("line"))
+    in_order = W.partitionBy("id", *keys).orderBy("line")
+    whole = in_order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    gathered = lines.select(
+        "id",
+        *keys,
+        F.collect_list("line").over(whole).alias("lines"),
+        F.row_number().over(in_order).alias("row"),
+    )
+    return gathered.where(F.col("row") == 1).select(
+        "id", *keys, F.array_join("lines", "\n").alias("content")
     )
 
 
@@ -90,7 +101,7 @@ class Corpus:
             .when(flag == "N", _text("from ", name, ".sub import f"))
             .otherwise(_text("import ", name, ",m", part + 1))
         )
-        return _lines_of(self._items.select("id", line.alias("line"))).unionByName(self._blank)
+        return _lines_of(self._items, line).unionByName(self._blank)
 
     @cached_property
     def go_contents(self) -> DataFrame:
@@ -116,7 +127,8 @@ class Corpus:
         owned = self._items.join(
             self._table("customer"), F.col("c_custkey") == F.col("l_partkey"), "left"
         )
-        body = _lines_of(owned.select("id", "kind", line.alias("line")), "kind")
+        items = owned.select("id", "kind", "form", "l_partkey", "l_returnflag", "c_custkey", "c_nationkey")
+        body = _lines_of(items, line, "kind")
         block = _text("package m\nimport (\n", F.col("content"), "\n)")
         content = (
             F.when(kind == 0, _text("package m\n", F.col("content"), '\nvar q = "github.com/q/q"'))
