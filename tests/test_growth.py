@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from __spark_entry__ import _Inputs, flower_documents
+from depweave.operators import flowers
 from depweave.operators.known_names import NameFilter
 from depweave.plans.stages import Stages
 from depweave.sources.corpus import _lines_of
@@ -12,6 +14,29 @@ def plan(table):
     return table._jdf.queryExecution().explainString(mode)
 
 
+def tables(spark, folder):
+    """The tables of a corpus of three repositories that import each other."""
+    schemas = {
+        "lineitem": ("l_orderkey bigint, l_partkey bigint, l_returnflag string", [(9 * o + 8, p, "A") for o in range(9) for p in (1, 2, 3, 4)]),
+        "customer": ("c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string", [(c, 1, 5.0, "x") for c in (1, 2, 3)]),
+        "supplier": ("s_suppkey bigint, s_nationkey int, s_acctbal double", [(4, 1, 1.0)]),
+        "orders": ("o_orderkey bigint, o_custkey bigint", [(9 * o + 8, 1 + o % 3) for o in range(9)]),
+        "part": ("p_partkey bigint", [(p,) for p in (1, 2, 3, 4)]),
+    }
+    for name, (schema, rows) in schemas.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_documents_are_parsed_once(spark, tmp_path):
+    found = flower_documents(_Inputs(spark, tables(spark, tmp_path), "test_documents"))
+    assert found.columns == ["root", "source", "target", "id", "group"]
+    assert plan(found).count("Scan parquet  (") == 1
+    rows = found.collect()
+    assert {r.source is None for r in rows} == {True, False}
+    assert all((r.source is None) == (r.target is None) == (r.id is not None) for r in rows)
+
+
 def test_filter_of_names_copies_no_map(spark):
     names = spark.range(5).select(F.concat(F.lit("n"), "id").alias("name"))
     kept = NameFilter(names, Stages(spark).write)
@@ -26,3 +51,27 @@ def test_lines_move_as_items(spark):
     assert "ObjectHashAggregate" not in plan(found) and "SortAggregate" not in plan(found)
     assert {(r.id, r.content) for r in found.collect()} == {(1, "line 2\nline 2\nline 3"), (None, "line 7"), (2, "")}
     assert found.count() == 3
+
+
+def test_flowers_remove_what_comes_again(spark):
+    """A root among its own dependents, a leaf of two hops, the root as a leaf, and a hop that comes twice."""
+    leaf = "dst string, leaves array<struct<rank: long, src: string, degree: long>>"
+    rows = {
+        "a": [(0, "a", 3), (1, "b", 2), (2, "c", 1)],
+        "b": [(0, "a", 3), (1, "c", 1)],
+        "c": [(0, "x", 0)],
+        "d": [(0, "e", 0), (1, "e", 0)],
+        "f": [(0, "c", 1), (1, "g", 0)],
+    }
+    degrees = spark.createDataFrame([(r, len(x)) for r, x in rows.items()], "dst string, degree long")
+    found = flowers.flowers(spark.createDataFrame([*rows.items()], leaf), degrees).collect()
+    for flower in found:
+        hops = [(s, d) for _, s, d in rows[flower.root]]
+        nodes = [(flower.root, len(rows[flower.root])), *hops]
+        links = [(flower.root, s) for s, _ in hops]
+        for hop, _ in hops:
+            nodes += [(s, d) for _, s, d in rows.get(hop, [])]
+            links += [(hop, s) for _, s, _ in rows.get(hop, [])]
+        assert [tuple(x) for x in flower.nodes] == [*dict.fromkeys(nodes)]
+        assert [tuple(x) for x in flower.links] == [*dict.fromkeys(links)]
+    assert len(found) == len(rows)
