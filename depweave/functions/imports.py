@@ -59,7 +59,8 @@ def split_names(import_text: str) -> Column:
 def go_import_repos(content: str) -> Column:
     """Repositories `user/name` in the first import declaration of a Go file, in order, as an
     array with its duplicates. Paths on other hosts are left out."""
-    code = F.regexp_replace(content, _GO_COMMENT, "")
+    has_comment = F.contains(F.col(content), F.lit("//"))
+    code = F.when(has_comment, F.regexp_replace(content, _GO_COMMENT, "")).otherwise(F.col(content))
     declaration = F.regexp_extract(code, _GO_DECLARATION, 1)
     return F.regexp_extract_all(declaration, F.lit(_GO_REPO), F.lit(1))
 
