@@ -1,14 +1,19 @@
 """Steps whose work for each row was too much: what they read, compare and sort, and their results."""
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from __spark_entry__ import _Inputs, flower_documents
-from depweave.operators import flowers
+from depweave.operators import cooccur, flowers
 from depweave.operators.known_names import NameFilter
 from depweave.plans.stages import Stages
 from depweave.sources.corpus import _lines_of
 
+LISTS = "repo string, n long, deps array<struct<dep: int, df: long>>"
+
+
 def plan(table):
     mode = table.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     return table._jdf.queryExecution().explainString(mode)
@@ -75,3 +80,27 @@ def test_flowers_remove_what_comes_again(spark):
         assert [tuple(x) for x in flower.nodes] == [*dict.fromkeys(nodes)]
         assert [tuple(x) for x in flower.links] == [*dict.fromkeys(links)]
     assert len(found) == len(rows)
+
+
+def test_partners_of_small_cells_are_sorted_as_numbers(spark, monkeypatch):
+    """Best partners of the small repositories are exact, and no array of theirs can hold a null."""
+    deps = {r: [d for d in range(12) if (d * r + d // 3) % 4 < 2] for r in range(1, 8)}
+    df = Counter(d for x in deps.values() for d in x)
+    rows = [(str(r), len(x), [(d, df[d]) for d in x]) for r, x in deps.items()]
+    cells, lists, gathered = spark.createDataFrame(rows, LISTS), [], cooccur._gathered
+
+    def watched(table, *args):
+        lists.append(table)
+        return gathered(table, *args)
+
+    monkeypatch.setattr(cooccur, "_gathered", watched)
+    pairs = Counter((a, b) for x in deps.values() for a in x for b in x if a != b)
+    for first in (1, 3, 20):
+        found = cooccur._small_counts(cells, first, True).collect()
+        assert len(found) == len({(r.dep1, r.dep2) for r in found})
+        for one in df:
+            best = sorted((-n, b) for (a, b), n in pairs.items() if a == one)[:first]
+            assert sorted((-r.cnt, r.dep2) for r in found if r.dep1 == one) == best
+    assert all(not table.schema["twos"].dataType.containsNull for table in lists)
+    halves = cooccur._small_counts(cells, 50, False).collect()
+    assert {(r.dep1, r.dep2): r.cnt for r in halves} == {p: n for p, n in pairs.items() if p[0] < p[1]}
