@@ -17,9 +17,13 @@ matrix and its transpose holds all overlaps. It is computed in blocks, and only
   most. What is linked is grouped. Then each column whose rows are still in different groups is a block
   of its rows outside the column's largest group times all its rows, cut into cells of bounded size. No
   pair within a group is looked at, so large groups of copies cost no more than their size.
+* A pair is only needed in the block of its first common column. There the overlap is at most what either
+  set has from that column on, so sizes and the column's place in each row tell which rows have no link
+  in a cell, before anything else is moved there.
 * Before texts are moved to a cell, its rows' sketches are: how many shingles are in each of about n / 6 bins.
   The sum over bins of the smaller of two counts is never less than the overlap, so a row whose sketch lets
-  no other of the cell reach the bound below has no link there and isn't moved.
+  no other of the cell reach the bound below has no link there and isn't moved. The others fall into
+  parts that may be linked; the same part of several blocks is one, and texts move once for each part.
 * In a cell the rows' whole sets are a sparse matrix by columns. A row's overlaps with all others are
   accumulated in one array over its shingles. Pairs are discarded before that by size (the smaller set has
   at least `percent` hundredths of the larger one's size) and after it by the bound on the overlap that
@@ -41,7 +45,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
@@ -54,6 +58,8 @@ SLOT_BITS = 22
 #: Shingles on either side of a cell.
 CELL = 500_000
 _CUT = 1 << 16
+#: Sides of a cell that a row is on.
+PROBE, OTHER = 1, 2
 
 Stage = Callable[[str, DataFrame], DataFrame]
 
@@ -130,40 +136,88 @@ def _folded(table: np.ndarray, bins: int) -> np.ndarray:
     return table.reshape(len(table), bins, -1).sum(axis=2, dtype=np.int32)
 
 
-def may_link(probes: list[tuple], others: list[tuple], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each of some rows (group, size, sketch), and of each of others, whether it may be linked with
+def near(m, i, n, j, percent: int):  # noqa: ANN001, ANN201
+    """Whether sets of sizes `m` and `n` (numbers or arrays) may be linked whose first common column has
+    the places `i` and `j` in them."""
+    least = overlap_bound(m, n, percent)
+    sizes = 100 * np.minimum(m, n) >= percent * np.maximum(m, n)
+    return sizes & (m - i >= least) & (n - j >= least)
+
+
+def _numbers(probes: list[tuple], others: list[tuple]) -> list[np.ndarray]:
+    """The groups of some rows (group, …) and of others as numbers."""
+    number: dict[bytes, int] = {}
+    return [np.array([number.setdefault(r[0], len(number)) for r in side]) for side in (probes, others)]
+
+
+def may_meet(probes: list[tuple], others: list[tuple], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each of some rows (group, size, place), and of each of others, whether it may be linked with
     one of another group on the other side."""
+    own, groups = _numbers(probes, others)
+    n, j = (np.array([r[k] for r in probes]) for k in (1, 2))
+    m, i = (np.array([r[k] for r in others]) for k in (1, 2))
     one, two = np.zeros(len(probes), bool), np.zeros(len(others), bool)
+    step = max(1, _CUT // len(others))
+    for k in range(0, len(probes), step):
+        at = slice(k, k + step)
+        hit = near(m, i, n[at, None], j[at, None], percent) & (groups != own[at, None])
+        one[at] = hit.any(axis=1)
+        two |= hit.any(axis=0)
+    return one, two
+
+
+def may_link(probes: list[tuple], others: list[tuple], percent: int) -> list[list[int]]:
+    """Of some rows (group, size, place, node, sketch) and of others the parts that may be linked across
+    sides, each as numbers of rows: first those of `probes`, then those of `others`. A node is in one part."""
+    rows = [*probes, *others]
     number: dict[bytes, int] = {}
-    groups = np.array([number.setdefault(r[0], len(number)) for r in others])
-    sizes = np.array([r[1] for r in others])
-    lengths = np.array([len(r[2]) for r in others])
+    nodes = np.array([number.setdefault(r[3], len(number)) for r in rows])
+    parent = np.arange(len(number))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    hit = np.zeros(len(rows), bool)
+    own, groups = _numbers(probes, others)
+    sizes, places = (np.array([r[k] for r in others]) for k in (1, 2))
+    lengths = np.array([len(r[4]) for r in others])
     for length in np.unique(lengths):
         at = np.flatnonzero(lengths == length)
-        table = np.frombuffer(b"".join(others[k][2] for k in at), np.uint8).reshape(len(at), -1)
-        m, at_bins = sizes[at], {}
-        for k, (group, n, own) in enumerate(probes):
-            near = 100 * np.minimum(m, n) >= percent * np.maximum(m, n)
-            near = np.flatnonzero(near & (groups[at] != number.get(group, -1)))
-            if not len(near):
+        table = np.frombuffer(b"".join(others[k][4] for k in at), np.uint8).reshape(len(at), -1)
+        m, i, at_bins = sizes[at], places[at], {}
+        for k, (_, n, j, _, sketch) in enumerate(probes):
+            found = np.flatnonzero(near(m, i, n, j, percent) & (groups[at] != own[k]))
+            if not len(found):
                 continue
-            bins = min(len(own), int(length))
+            bins = min(len(sketch), int(length))
             if bins not in at_bins:
                 at_bins[bins] = _folded(table, bins)
-            mine = _folded(np.frombuffer(own, np.uint8)[None], bins)
-            most = np.minimum(at_bins[bins][near], mine).sum(axis=1)
-            near = near[most >= overlap_bound(m[near], n, percent)]
-            one[k] |= len(near) > 0
-            two[at[near]] = True
-    return one, two
+            mine = _folded(np.frombuffer(sketch, np.uint8)[None], bins)
+            most = np.minimum(at_bins[bins][found], mine).sum(axis=1)
+            found = at[found[most >= overlap_bound(m[found], n, percent)]] + len(probes)
+            if len(found):
+                hit[k] = hit[found] = True
+                top = root(nodes[k])
+                for x in np.unique(nodes[found]):
+                    parent[root(x)] = top
+    parts: dict[int, list[int]] = {}
+    for k in np.flatnonzero(hit):
+        parts.setdefault(root(nodes[k]), []).append(int(k))
+    return list(parts.values())
 
 
 PRINT = "n long, node binary, sketch binary, columns array<long>"
 
 
+def _place() -> Column:
+    return F.xxhash64("text", "doc_id")
+
+
 def _prints(docs: DataFrame, width: int, percent: int, size: np.ndarray) -> DataFrame:
     """(doc_id, place, n, node, sketch, columns): `node` is the digest of the set, null if empty, and `place` a
-    hash of the text."""
+    hash of the row."""
     shared = Shared(docs.sparkSession, size)
 
     @F.pandas_udf(PRINT)
@@ -181,25 +235,29 @@ def _prints(docs: DataFrame, width: int, percent: int, size: np.ndarray) -> Data
                     rows.append((0, None, None, None))
             yield pd.DataFrame(rows, columns=["n", "node", "sketch", "columns"])
 
-    place = F.xxhash64("text").alias("place")
-    return docs.select("doc_id", place, printed(F.col("text")).alias("p")).select(
+    return docs.select("doc_id", _place().alias("place"), printed(F.col("text")).alias("p")).select(
         "doc_id", "place", "p.*"
     )
 
 
 def _columns(rows: DataFrame, stage: Stage, bits: int) -> DataFrame:
-    """(col, node, n): the columns with several rows; of columns with the same rows only one."""
-    entries = rows.select("node", "n", F.explode("columns").alias("col"))
+    """(col, node, n, pos): the columns with several rows and their places in them; of columns with the
+    same rows only the first one."""
+    entries = rows.select("node", "n", F.posexplode("columns").alias("pos", "col"))
     maybe = stage("entries", entries.where(bloom.maybe_repeated(entries, "col", bits)))
     one, two = F.xxhash64("node"), F.xxhash64("node", F.lit(1))
     sums = maybe.groupBy("col").agg(
         F.count(F.lit(1)).alias("size"),
+        F.sum("pos").alias("places"),
         F.bit_xor(one).alias("one"),
         F.bit_xor(two).alias("two"),
     )
     several = sums.where(F.col("size") > 1)
-    chosen = stage("chosen", several.groupBy("size", "one", "two").agg(F.min("col").alias("col")))
-    return stage("columns", maybe.join(chosen.select("col", "size"), "col"))
+    # The first one has lower places than the others in all of the rows.
+    first = F.min(F.struct("places", "col"))["col"].alias("col")
+    chosen = stage("chosen", several.groupBy("size", "one", "two").agg(first))
+    near = maybe.where(bloom.maybe_in(maybe, "col", chosen.select("col"), bits))
+    return stage("columns", near.join(chosen.select("col", "size"), "col"))
 
 
 def _hubs(columns: DataFrame, percent: int, stage: Stage) -> DataFrame:
@@ -244,12 +302,12 @@ class Cell:
 
 def _cell_links(held: list[dict], shingler: Shingler, percent: int) -> list[tuple[bytes, bytes]]:
     """Links between groups, as many as join those of the cell that are linked: fewer than it has groups."""
-    probes = [r for r in held if r["probe"]]
-    others = [r for r in held if not r["probe"]]
+    probes = [r for r in held if r["side"] & PROBE]
+    others = [r for r in held if r["side"] & OTHER]
     if not probes or not others:
         return []
-    sets = {r["node"]: r["text"] for r in held}
-    sets = {node: shingler.set_of(text) for node, text in sets.items()}
+    sets = {r["node"]: r["packed"] for r in held}
+    sets = {node: shingler.set_of(zlib.decompress(packed).decode()) for node, packed in sets.items()}
     cell = Cell([sets[r["node"]] for r in others], percent)
     parent: dict[bytes, bytes] = {}
 
@@ -269,80 +327,114 @@ def _cell_links(held: list[dict], shingler: Shingler, percent: int) -> list[tupl
     return links
 
 
-def _promising(cells: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The rows of cells (col, i, j, probe, node, comp) that by their sketches may be linked across the
-    cell with another group; `sketches` is (node, size, sketch)."""
-    names = ("col", "i", "j", "probe", "node", "comp")
-    dealt = (
-        cells.select(*names)
-        .join(sketches, "node")
-        .repartition("col", "i", "j")
-        .sortWithinPartitions("col", "i", "j")
-    )
+CELL_ROW = "col long, i int, j int, probe boolean, node binary, comp binary, n long, pos int"
+_CELL_NAMES = ("col", "i", "j", "probe", "node", "comp", "n", "pos")
 
-    def chosen(held: list[tuple]) -> pd.DataFrame:
+
+def _by_cell(cells: DataFrame, names: tuple, kind: str, chosen: Callable[[list, list], list[tuple]]) -> DataFrame:
+    """What `chosen` makes of the rows of each cell, those that are probes and the others; one cell is
+    held at a time."""
+
+    def made(held: list[tuple]) -> list[tuple]:
         sides = [[r for r in held if r[3] == probe] for probe in (True, False)]
-        found: list[tuple] = []
-        if all(sides):
-            rows = [[(r[5], r[6], r[7]) for r in side] for side in sides]
-            for side, hit in zip(sides, may_link(*rows, percent), strict=True):
-                found += [r[:6] for r, yes in zip(side, hit, strict=True) if yes]
-        return pd.DataFrame(found, columns=list(names))
+        return chosen(*sides) if all(sides) else []
+
+    columns = [part.split()[0] for part in kind.split(", ")]
 
     def filtered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cell, held = None, []
         for frame in frames:
-            done = []
-            columns = [frame[c] for c in (*names, "size", "sketch")]
-            for row in zip(*columns, strict=True):
+            done: list[tuple] = []
+            for row in zip(*(frame[c] for c in names), strict=True):
                 if row[:3] != cell:
-                    done.append(chosen(held))
+                    done += made(held)
                     cell, held = row[:3], []
                 held.append(row)
             if done:
-                yield pd.concat(done)
-        yield chosen(held)
+                yield pd.DataFrame(done, columns=columns)
+        yield pd.DataFrame(made(held), columns=columns)
+
+    dealt = cells.select(*names).repartition("col", "i", "j").sortWithinPartitions("col", "i", "j")
+    return dealt.mapInPandas(filtered, kind)
+
+
+def _meeting(cells: DataFrame, percent: int) -> DataFrame:
+    """The rows of cells (col, i, j, probe, node, comp, n, pos) that by size and place may be linked across
+    the cell with another group."""
 
-    kind = "col long, i int, j int, probe boolean, node binary, comp binary"
-    return dealt.select(*names, "size", "sketch").mapInPandas(filtered, kind)
+    def chosen(*sides: list[tuple]) -> list[tuple]:
+        rows = [[r[5:] for r in side] for side in sides]
+        found = zip(sides, may_meet(*rows, percent), strict=True)
+        return [r for side, hit in found for r, yes in zip(side, hit, strict=True) if yes]
 
+    return _by_cell(cells, _CELL_NAMES, CELL_ROW, chosen)
 
-def _product(cells: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) within the cells of (col, i, j, probe, node, comp, text): of rows with `probe` to
-    rows without it."""
-    dealt = cells.repartition("col", "i", "j").sortWithinPartitions("col", "i", "j")
+
+def _promising(cells: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(part, node, comp, side): the parts of cells (col, i, j, probe, node, comp, n, pos) that by their sketches
+    may be linked across the cell with another group; `sketches` is (node, sketch). A part is named by
+    its nodes, so that what several cells have is there once."""
+
+    def chosen(*sides: list[tuple]) -> list[tuple]:
+        probes, others = ([(r[5], r[6], r[7], r[4], r[8]) for r in side] for side in sides)
+        rows, made = [*probes, *others], []
+        for part in may_link(probes, others, percent):
+            side: dict[bytes, int] = {}
+            for k in part:
+                side[rows[k][3]] = side.get(rows[k][3], 0) | (PROBE if k < len(probes) else OTHER)
+            comp = {rows[k][3]: rows[k][0] for k in part}
+            key = hashlib.blake2b(b"".join(sorted(side)), digest_size=8).digest()
+            key = int.from_bytes(key, "little", signed=True)
+            made += [(key, node, comp[node], s) for node, s in side.items()]
+        return made
+
+    kind = "part long, node binary, comp binary, side int"
+    parts = _by_cell(cells.join(sketches, "node"), (*_CELL_NAMES, "sketch"), kind, chosen)
+    return parts.groupBy("part", "node").agg(F.min("comp").alias("comp"), F.bit_or("side").alias("side"))
+
+
+def _product(parts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) within the parts of (part, node, comp, side, packed)."""
+    names = ("part", "node", "comp", "side", "packed")
+    dealt = parts.select(*names).repartition("part").sortWithinPartitions("part")
 
     def multiplied(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows come sorted by cell; one cell is held at a time."""
+        """Rows come sorted by part; one part is held at a time."""
         shingler = Shingler(width)
-        cell, held, seen = None, [], set()
+        now, held, seen = None, [], set()
         for frame in frames:
             links = []
-            columns = [frame[c] for c in ("col", "i", "j", "probe", "node", "comp", "text")]
-            for col, i, j, probe, node, comp, text in zip(*columns, strict=True):
-                if (col, i, j) != cell:
+            for part, node, comp, side, packed in zip(*(frame[c] for c in names), strict=True):
+                if part != now:
                     links += _cell_links(held, shingler, percent)
-                    cell, held, seen = (col, i, j), [], set()
+                    now, held, seen = part, [], set()
                 # Repeated rows of one document have brought the text more than once.
-                if (probe, node) not in seen:
-                    seen.add((probe, node))
-                    held.append({"probe": probe, "node": node, "comp": comp, "text": text})
+                if node not in seen:
+                    seen.add(node)
+                    held.append({"node": node, "comp": comp, "side": side, "packed": packed})
             yield pd.DataFrame(links, columns=["a", "b"])
         yield pd.DataFrame(_cell_links(held, shingler, percent), columns=["a", "b"])
 
-    names = ("col", "i", "j", "probe", "node", "comp", "text")
-    return dealt.select(*names).mapInPandas(multiplied, "a binary, b binary")
+    return dealt.mapInPandas(multiplied, "a binary, b binary")
+
+
+def _packed(column: str) -> Column:
+    @F.pandas_udf("binary")
+    def packed(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if text is None else zlib.compress(text.encode()) for text in texts])
+
+    return packed(F.col(column))
 
 
 def _star_cells(hubbed: DataFrame, stage: Stage) -> DataFrame:
     """Cells of a hub and about CELL shingles of the rows it is to be multiplied with. A hub stands for
     the column of a cell."""
-    loads = stage("loads", hubbed.groupBy("hub").agg(F.sum("n").alias("load")))
+    loads = stage("loads", hubbed.groupBy("hub").agg(F.sum("n").alias("load"), F.first("hub_n").alias("n")))
     cuts = F.ceil(F.col("load") / CELL).cast("int")
     column = F.xxhash64("hub").alias("col")
     placed = hubbed.join(loads.select("hub", cuts.alias("cuts")), "hub")
     i = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
-    probes = placed.select(column, i.alias("i"), F.lit(0).alias("j"), F.lit(True).alias("probe"), "node", F.col("node").alias("comp"))
+    probes = placed.select(column, i.alias("i"), F.lit(0).alias("j"), F.lit(True).alias("probe"), "node", F.col("node").alias("comp"), "n", F.lit(0).alias("pos"))
     others = loads.select(
         column,
         F.explode(F.sequence(F.lit(0), cuts - 1)).alias("i"),
@@ -350,6 +442,8 @@ def _star_cells(hubbed: DataFrame, stage: Stage) -> DataFrame:
         F.lit(False).alias("probe"),
         F.col("hub").alias("node"),
         F.col("hub").alias("comp"),
+        "n",
+        F.lit(0).alias("pos"),
     )
     return probes.unionByName(others)
 
@@ -360,7 +454,7 @@ def _block_cells(columns: DataFrame, groups: DataFrame, stage: Stage) -> DataFra
     grouped = stage(
         "grouped",
         columns.join(groups, "node", "left").select(
-            "col", "node", "n", F.coalesce("comp", "node").alias("comp")
+            "col", "node", "n", "pos", F.coalesce("comp", "node").alias("comp")
         ),
     )
     per_group = grouped.groupBy("col", "comp").agg(F.sum("n").alias("n"))
@@ -385,6 +479,8 @@ def _block_cells(columns: DataFrame, groups: DataFrame, stage: Stage) -> DataFra
         F.lit(False).alias("probe"),
         "node",
         "comp",
+        "n",
+        "pos",
     )
     probes = placed.where(F.col("comp") != F.col("main")).select(
         "col",
@@ -393,6 +489,8 @@ def _block_cells(columns: DataFrame, groups: DataFrame, stage: Stage) -> DataFra
         F.lit(True).alias("probe"),
         "node",
         "comp",
+        "n",
+        "pos",
     )
     return others.unionByName(probes)
 
@@ -425,7 +523,7 @@ def join_groups(
     columns = _columns(rows.select("node", "n", "columns"), stage, bits)
     sketches = stage(
         "sketches",
-        rows.select("node", F.col("n").alias("size"), "sketch").join(
+        rows.select("node", "sketch").join(
             columns.select("node").distinct(), "node", "left_semi"
         ),
     )
@@ -433,21 +531,19 @@ def join_groups(
     where = rows.select("node", "least.place", F.col("least.doc_id").alias("id"))
 
     def product(name: str, cells: DataFrame) -> DataFrame:
-        """Only texts of rows that the sketches leave are moved; of copies that of the first document,
+        """Only texts of rows that the sketches leave are moved, packed; of copies that of the first document,
         and a text whose place isn't wanted isn't shuffled."""
         promising = stage(f"{name}_cells", _promising(cells, sketches, percent))
-        wanted = stage(
-            f"{name}_wanted", where.join(promising.select("node").distinct(), "node", "left_semi")
-        )
-        placed = docs.select("text", F.col("doc_id").alias("own"), F.xxhash64("text").alias("place"))
+        wanted = stage(f"{name}_wanted", promising.join(where, "node"))
+        placed = docs.select("text", F.col("doc_id").alias("own"), _place().alias("place"))
         near = placed.where(bloom.maybe_in(placed, "place", wanted.select("place"), bits))
-        texts = near.join(wanted, "place").where(F.col("own").eqNullSafe(F.col("id")))
-        whole = promising.join(texts.select("node", "text"), "node")
-        return stage(name, _product(whole, width, percent))
+        near = near.select("own", "place", _packed("text").alias("packed"))
+        same = (near["place"] == wanted["place"]) & near["own"].eqNullSafe(wanted["id"])
+        return stage(name, _product(near.join(wanted, same), width, percent))
 
     links = product("links", _star_cells(_hubs(columns, percent, stage), stage))
     groups = stage("groups", components(links, stage))
-    more = product("more", _block_cells(columns, groups, stage))
+    more = product("more", _meeting(_block_cells(columns, groups, stage), percent))
     groups = stage("all_groups", components(links.unionByName(more), stage))
 
     least = rows.select("node", "least").join(groups, "node")

@@ -6,6 +6,7 @@ import random
 import re
 from zlib import crc32
 
+import numpy as np
 import pytest
 
 from depweave.llm import importance, ngram_join, vector_codes
@@ -99,6 +100,25 @@ def test_join_emits_no_pair_within_a_group(spark):
     assert made["links"].count() < n and made["more"].count() < entries < 10 * n
 
 
+def test_join_names_a_part_once(spark):
+    """Rows that several blocks have together are one part, and go on only where they may first meet."""
+    rng = random.Random(7)
+    own = sorted(rng.sample(range(1 << 60), 100))
+    sets = {b"a": [x << 4 for x in own], b"b": [x << 4 for x in own[:99] + [1]], b"c": [16 * k + 5 for k in range(100)]}
+    sets = {node: np.array(sorted(x), np.uint64) for node, x in sets.items()}
+    sketches = [(node, bytearray(ngram_join.sketch_of(x))) for node, x in sets.items()]
+    cells = [
+        (col, 0, 0, node == b"a", bytearray(node), bytearray(node), 100, col) for col in range(15) for node in sets
+    ]
+    cells = spark.createDataFrame(cells, ngram_join.CELL_ROW).repartition(4)
+    # Of 100 shingles 92 must be common, so the first common column is no later than the ninth.
+    met = ngram_join._meeting(cells, 85)
+    assert {r.col for r in met.select("col").distinct().collect()} == set(range(9))
+    parts = ngram_join._promising(met, spark.createDataFrame(sketches, "node binary, sketch binary"), 85).collect()
+    assert sorted((bytes(r.node), r.side) for r in parts) == [(b"a", ngram_join.PROBE), (b"b", ngram_join.OTHER)]
+    assert len({r.part for r in parts}) == 1
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, code string, error int, book string"
 
 
